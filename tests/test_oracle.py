@@ -1,0 +1,72 @@
+"""Every registered query against its SQL counterpart on whole tables."""
+
+from decimal import Decimal
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import entry, oracle_sql, queries
+from conftest import TESTDATA
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def sql_rows(sf_dir, sql):
+    db = duckdb.connect()
+    for table in TABLES:
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    result = db.execute(sql)
+    return [c[0] for c in result.description], result.fetchall()
+
+
+def comparable(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(repr(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_a_counterpart():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_matches_sql(spark, name):
+    sf_dir = f"{TESTDATA}/sf0.01"
+    df = queries()[name](spark, sf_dir)
+    columns, expected = sql_rows(sf_dir, oracle_sql()[name])
+    assert sorted(df.columns) == sorted(columns)
+    got = [tuple(row) for row in df.collect()]
+    assert len(got) == len(expected) > 0
+    assert comparable(df.columns, got) == comparable(columns, expected)
+
+
+def test_entry(spark):
+    assert entry(spark).count() == 10
+
+
+# rows, clean, missing customer, bad amount, bad time, sum of clean amounts
+GOLDEN = {
+    "sf0.001": (1485, 1237, 36, 78, 133, "308521410.61"),
+    "sf0.01": (14846, 12311, 362, 766, 1406, "3084444970.64"),
+    "sf0.1": (148454, 123147, 3621, 7632, 14053, "30803003127.15"),
+}
+
+
+@pytest.mark.parametrize("scale", sorted(GOLDEN))
+def test_golden_counts(spark, scale):
+    sf_dir = f"{TESTDATA}/{scale}"
+    rows, clean, customer, amount, time, total = GOLDEN[scale]
+    report = {r.outcome: r.n_rows for r in queries()["quality_report_orders"](spark, sf_dir).collect()}
+    assert report == {
+        "clean": clean,
+        "Missing order_id": 1,
+        "Missing customer_id": customer,
+        "Negative or null total_amount": amount,
+        "Invalid or future order_date": time,
+    }
+    assert sum(report.values()) == rows
+    silver = queries()["silver_orders"](spark, sf_dir)
+    assert silver.agg(F.sum("total_amount")).first()[0] == Decimal(total)
