@@ -38,11 +38,10 @@ def updated_columns(
     return [c for c in target.columns if c in update_cols]
 
 
-def duplicate_key_error(keys: Sequence[str], what: str, n: Column) -> Column:
+def duplicate_key_error(keys: Sequence[str], side: str) -> Column:
+    """Fails the query, naming the key."""
     shown = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
-    return F.raise_error(
-        F.concat(F.lit(f"{what}: key ("), shown, F.lit(") occurs "), n.cast("string"), F.lit("x"))
-    )
+    return F.raise_error(F.concat(F.lit(f"{side}: more than one row with key ("), shown, F.lit(")")))
 
 
 def _overwrite(
@@ -98,7 +97,7 @@ def merge_upsert(
     else:
         counted = keyed.groupBy(*keys).agg(F.count("*").alias("_n"))
         update_keys = counted.filter(F.col("_n") == 1).select(*keys)
-        error = duplicate_key_error(keys, "updates", F.col("_n"))
+        error = duplicate_key_error(keys, "updates")
         # no rows, but the error: as a union branch it runs whatever the joins are reduced to
         guard = counted.filter(F.when(F.col("_n") > 1, error).isNotNull()).select(
             *(

@@ -90,20 +90,22 @@ def clean(
     and columns. The counts are observed on that write.
     """
     classified = clean_rows(read_table(spark, layers.bronze, fmt=fmt), spec, run_ts)
-    counters = quality_counters(spec.rules)
+    is_clean = F.col(REASON).isNull()
     seen = Observation()
-    staged = stage_table(
-        classified.withColumn("_is_clean", F.col(REASON).isNull()).observe(
-            seen, *(count.alias(outcome) for outcome, count in counters.items())
+    counters = (count.alias(name) for name, count in quality_counters(spec.rules).items())
+    needed = classified.observe(seen, *counters).select(
+        is_clean.alias("_is_clean"),
+        # clean rows go on with silver's columns only: nulls cost next to nothing to store
+        *(
+            F.col(c) if c in spec.silver_columns else F.when(~is_clean, F.col(c)).alias(c)
+            for c in classified.columns
         ),
-        "layerflow-classified",
-        partition_by=["_is_clean"],
     )
+    staged = stage_table(needed, "layerflow-classified", partition_by=["_is_clean"])
     counts = dict(seen.get)
-    outcomes = spark.read.schema(classified.schema.add("_is_clean", "boolean")).parquet(staged)
-    silver, _ = split_by_quality(
-        outcomes.filter("_is_clean").drop("_is_clean"), spec.silver_columns, run_ts
-    )
+
+    outcomes = spark.read.schema(needed.schema).parquet(staged)
+    silver, _ = split_by_quality(outcomes.filter("_is_clean"), spec.silver_columns, run_ts)
     _, rejected = split_by_quality(
         outcomes.filter("NOT _is_clean").drop("_is_clean"), spec.silver_columns, run_ts
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerflow.functions import any_null, key_hash
@@ -105,33 +105,39 @@ def _merge_placed(
     bucket: str,
     touched: Sequence[int],
 ) -> DataFrame:
-    """One row per key of rows that already lie together: at most a stored one and an update."""
-    kept_cols = [c for c in columns if c not in update_cols and c not in keys]
-    aggregates = [F.sum("_is_update").alias("_n_new"), F.count("*").alias("_n_rows")]
-    if update_cols:
-        aggregates.append(F.max_by(F.struct(*update_cols), "_is_update").alias("_new"))
-    if kept_cols:
-        aggregates.append(F.min_by(F.struct(*kept_cols), "_is_update").alias("_old"))
-    # bucket first, so that the writer finds its rows in directory order
-    merged = both.groupBy(bucket, "_slot", *keys).agg(*aggregates)
+    """One row per key of rows that already lie together: at most a stored one and an update.
 
-    # errors look at the aggregates, so that Spark cannot raise them for rows that some
-    # filter within the updates drops
-    n_new, n_old = F.col("_n_new"), F.col("_n_rows") - F.col("_n_new")
+    In key order the stored row comes just before its update, so looking one row ahead
+    tells that it is superseded, and one row back finds the values that it passes on.
+    """
+    # bucket first, so that the writer finds its rows in directory order
+    pair = Window.partitionBy(bucket, "_slot", *keys).orderBy("_is_update")
+    follower = F.lead("_is_update").over(pair)
+    added = {"_follower": follower}
+    passed_on = [c for c in columns if c not in update_cols and c not in keys]
+    if passed_on:
+        added["_old"] = F.lag(F.struct(*passed_on)).over(pair)
+    paired = both.withColumns(added)
+
+    is_update, follower = F.col("_is_update") == 1, F.col("_follower")
     # a directory that is replaced but was not read would lose its rows
-    is_stray = (n_new > 0) & ~F.col(bucket).isin(touched)
+    is_stray = is_update & ~F.col(bucket).isin(touched)
+    # The error must depend on the window: one on the updates' columns alone would be
+    # pushed into the updates, and raised for rows that some filter there drops.
     error = (
-        F.when(n_new > 1, duplicate_key_error(keys, "updates", n_new))
-        .when(n_old > 1, duplicate_key_error(keys, "table", n_old))
+        F.when(is_update & (follower == 1), duplicate_key_error(keys, "updates"))
+        .when(~is_update & (follower == 0), duplicate_key_error(keys, "table"))
         .when(is_stray, F.raise_error(F.lit("the updates changed between two reads")))
     )
+    is_last = follower.isNull()
 
     def column(name: str) -> Column:
-        if name in keys:
-            return F.col(name)
-        return F.col("_new" if name in update_cols else "_old")[name].alias(name)
+        if name in passed_on:
+            had_old = is_update & F.col("_old").isNotNull()
+            return F.when(had_old, F.col("_old")[name]).otherwise(F.col(name)).alias(name)
+        return F.col(name)
 
-    return merged.filter(error.isNull()).select(*(column(c) for c in columns), bucket)
+    return paired.filter(error.isNull() & is_last).select(*(column(c) for c in columns), bucket)
 
 
 def _merge_into(
