@@ -144,13 +144,13 @@ def _merge_into(
     table: str, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None
 ) -> None:
     set_cols = [c for c in updates.columns if c not in keys] if update_cols is None else update_cols
-    same_key = reduce(and_, (F.col(f"{table}.{k}") == F.col(f"updates.{k}") for k in keys))
+    same_key = reduce(and_, (F.col(f"{table}.`{k}`") == F.col(f"updates.`{k}`") for k in keys))
     (
         updates.alias("updates")
         .mergeInto(table, same_key)
         .whenMatched()
-        .update({c: F.col(f"updates.{c}") for c in set_cols})
+        .update({c: F.col(f"updates.`{c}`") for c in set_cols})
         .whenNotMatched()
-        .insert({c: F.col(f"updates.{c}") for c in updates.columns})
+        .insert({c: F.col(f"updates.`{c}`") for c in updates.columns})
         .merge()
     )

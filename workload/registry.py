@@ -26,6 +26,7 @@ from layerflow import (
     run_layers,
     shared_folder,
     split_by_quality,
+    stage_table,
     upsert_table,
     write_snapshot,
 )
@@ -56,6 +57,11 @@ def spec():
     return orders_spec(AS_OF)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written and read back, for sinks that look at their input more than once."""
+    return df.sparkSession.read.schema(df.schema).parquet(stage_table(df, "layerflow-input"))
+
+
 # --- bronze ---------------------------------------------------------------------------
 
 
@@ -158,7 +164,7 @@ def quality_totals_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def quarantine_append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends double the rows; an empty one leaves the table as it is."""
-    rejected = quarantine_orders(spark, sf_dir)
+    rejected = stored(quarantine_orders(spark, sf_dir))
     path = shared_folder(spark, "layerflow-quarantine")
     append_rows(rejected, path)
     append_rows(rejected, path)
@@ -169,7 +175,7 @@ def quarantine_append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def quarantine_append_same_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that is done again replaces its own rows and no others."""
-    rejected = quarantine_orders(spark, sf_dir)
+    rejected = stored(quarantine_orders(spark, sf_dir))
     path = shared_folder(spark, "layerflow-quarantine")
     for run_id in ("first", "second", "second"):
         append_rows(rejected, path, run_id=run_id)
@@ -243,7 +249,7 @@ def customer_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "layerflow-gold")
-    upsert_table(spark, path, silver_orders(spark, sf_dir), KEY, buckets=8)
+    upsert_table(spark, path, stored(silver_orders(spark, sf_dir)), KEY, buckets=8)
     return read_table(spark, path)
 
 
