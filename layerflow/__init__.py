@@ -14,7 +14,13 @@ from layerflow.operators import (
     split_by_quality,
 )
 from layerflow.plans import LayerRun, TableSpec, orders_spec, run_layers
-from layerflow.sinks import append_rows, stage_table, upsert_table, write_snapshot
+from layerflow.sinks import (
+    append_rows,
+    stage_table,
+    upsert_bucketed_table,
+    upsert_table,
+    write_snapshot,
+)
 from layerflow.sources import (
     JdbcSplit,
     JdbcTarget,
@@ -53,6 +59,7 @@ __all__ = [
     "stage_table",
     "table_exists",
     "timestamp_literal",
+    "upsert_bucketed_table",
     "upsert_table",
     "utc_now",
     "write_snapshot",

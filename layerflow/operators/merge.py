@@ -106,19 +106,15 @@ def merge_upsert(
             )
         )
 
+    present, keyless = target.filter(~any_null(keys)), target.filter(any_null(keys))
     if unique_target and complete:
-        merged = target.join(update_keys, keys, "left_anti").unionByName(updates)
+        merged = present.join(update_keys, keys, "left_anti").unionByName(updates)
     else:
-        present = target.filter(~any_null(keys))
         matched = _overwrite(present, keyed, keys, update_cols) if update_cols else present
         # distinct combines copies of a hot key before its exchange; Spark moves the semi
         # join below it when the update keys are small enough to broadcast
         known = present.select(*keys).distinct().join(update_keys, keys, "left_semi")
         inserted = keyed.join(known, keys, "left_anti")
-        merged = (
-            matched.unionByName(target.filter(any_null(keys)))
-            .unionByName(inserted)
-            .unionByName(updates.filter(any_null(keys)))
-        )
-    merged = merged.select(*target.columns)
+        merged = matched.unionByName(inserted).unionByName(updates.filter(any_null(keys)))
+    merged = merged.select(*target.columns).unionByName(keyless)
     return merged if guard is None else merged.unionByName(guard)

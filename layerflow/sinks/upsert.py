@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -10,7 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerflow.functions import any_null, key_hash
-from layerflow.operators.merge import align_updates, duplicate_key_error, updated_columns
+from layerflow.operators.merge import (
+    align_updates,
+    duplicate_key_error,
+    merge_upsert,
+    updated_columns,
+)
 from layerflow.sinks.writes import write_snapshot
 from layerflow.sources.tables import BUCKET_COLUMN, table_exists
 
@@ -140,6 +146,53 @@ def _merge_placed(
     return paired.filter(error.isNull() & is_last).select(*(column(c) for c in columns), bucket)
 
 
+def upsert_bucketed_table(
+    spark: SparkSession,
+    table: str,
+    location: str,
+    updates: DataFrame,
+    keys: Sequence[str],
+    update_cols: Sequence[str] | None = None,
+    *,
+    fmt: str = "parquet",
+    buckets: int = 64,
+) -> str | None:
+    """The same upsert for a catalog table of plain files that is bucketed by its key.
+
+    The join reads the table bucket by bucket, so that only the updates are exchanged: the
+    better choice where every run touches most of a large table. Each run writes a new
+    folder under ``location`` and then points the table to it, in one step. The folder that
+    the table leaves is returned; it may be removed once no reader is left on it.
+    """
+    keys = list(keys)
+    if spark.catalog.tableExists(table):
+        details = spark.sql(f"DESCRIBE EXTENDED {table}")
+        facts = {r.col_name: r.data_type for r in details.collect()}
+        buckets, left = int(facts["Num Buckets"]), facts["Location"]
+        target, name = spark.table(table), f"{table}__next"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # of a run that did not end
+    else:
+        target, name, left = updates.limit(0), table, None
+
+    updates = align_updates(target, updates, keys).select(*updates.columns)
+    keyed, keyless = updates.filter(~any_null(keys)), updates.filter(any_null(keys))
+    placed = keyed.repartition(buckets, *keys).unionByName(keyless)
+    merged = merge_upsert(target, placed, keys, update_cols, unique_target=True)
+    path = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
+    (
+        merged.write.format(fmt)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    if left is not None:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.sql(f"DROP TABLE {name}")
+        spark.catalog.refreshTable(table)
+    return left
+
+
 def _merge_into(
     table: str, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None
 ) -> None:

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from layerflow import merge_upsert, read_table, upsert_table
+from layerflow import merge_upsert, read_table, upsert_bucketed_table, upsert_table
 
 QUICK = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -292,6 +292,48 @@ def test_a_filter_within_the_updates_does_not_raise(spark, tmp_path):
     assert read_table(spark, path).count() == 200
 
 
+# --- bucketed catalog tables ----------------------------------------------------------
+
+
+def test_bucketed_table(spark, tmp_path):
+    def upsert(data, cols=None, schema=SCHEMA):
+        return upsert_bucketed_table(
+            spark, "bucketed", str(tmp_path), frame(spark, data, schema), ["k"], cols, buckets=4
+        )
+
+    assert upsert(TARGET) is None
+    first = read_table(spark, table="bucketed")
+    assert rows(first) == sorted(TARGET, key=repr)
+    left = upsert(UPDATES)
+    expected = brute_merge(TARGET, UPDATES)
+    assert rows(read_table(spark, table="bucketed")) == expected
+    assert rows(spark.read.parquet(left)) == sorted(TARGET, key=repr)  # earlier readers go on
+    upsert([(1, 11, "n"), (9, 9, "n")], ["a"])
+    expected = brute_merge(expected, [(1, 11, "n"), (9, 9, "n")], ["a"])
+    assert rows(read_table(spark, table="bucketed")) == expected
+    with pytest.raises(PySparkException, match="more than one row"):
+        upsert([(1, 1, "p"), (1, 2, "q")])
+    assert rows(read_table(spark, table="bucketed")) == expected
+    upsert([(1, 12)], schema="k bigint, a int")  # goes on after the failed run
+    assert (1, 12, "x") in rows(read_table(spark, table="bucketed"))
+
+
+def test_bucketed_table_is_joined_without_an_exchange(spark, tmp_path):
+    data = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    upsert_bucketed_table(spark, "colocated", str(tmp_path), data, ["k"], buckets=4)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        target, updates = spark.table("colocated"), data.repartition(4, "k")
+        got = merge_upsert(target, updates, ["k"], unique_target=True, unique_updates=True)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    stored = plan.split("LeftAnti")[1].split("Exchange")[0]
+    assert "Bucketed: true" in stored and "SelectedBucketsCount: 4 out of 4" in stored
+
+
 def test_foreign_table_is_refused(spark, tmp_path):
     path = f"{tmp_path}/plain"
     frame(spark, TARGET).write.parquet(path)

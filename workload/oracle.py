@@ -285,6 +285,7 @@ FROM updates u
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = u.l_orderkey)""",
     "gold_merge_idempotent": MERGED,
     "gold_table_upsert": MERGED,
+    "gold_bucketed_table_upsert": MERGED,
     "gold_preview_topk": f"{GOLD_FIRST} ORDER BY order_timestamp, order_id LIMIT 10",
     "layers_end_to_end": GOLD_FIRST,
     "layers_second_run": f"""

@@ -27,6 +27,7 @@ from layerflow import (
     shared_folder,
     split_by_quality,
     stage_table,
+    upsert_bucketed_table,
     upsert_table,
     write_snapshot,
 )
@@ -317,6 +318,16 @@ def gold_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query
+def gold_bucketed_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog form: the stored side of the join is not exchanged."""
+    folder = shared_folder(spark, "layerflow-gold")
+    table = f"gold_{uuid.uuid4().hex}"
+    for rows in (upsert_target(spark, sf_dir), upsert_updates(spark, sf_dir)):
+        upsert_bucketed_table(spark, table, folder, rows, KEY, buckets=8)
+    return read_table(spark, table=table)
+
+
 @query
 def gold_preview_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(silver_orders(spark, sf_dir), 10, ["order_timestamp", "order_id"])
