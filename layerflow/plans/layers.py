@@ -56,7 +56,7 @@ class LayerRun:
         return sum(self.counts.values()) - self.n_clean
 
 
-def clean_rows(
+def classified_rows(
     bronze: DataFrame, spec: TableSpec, run_ts: str | datetime | Column
 ) -> DataFrame:
     """Bronze rows deduplicated, conformed and classified: silver and quarantine in one frame."""
@@ -89,7 +89,7 @@ def clean(
     written to the shared folder, split by outcome, so that each sink reads its own part
     and columns. The counts are observed on that write.
     """
-    classified = clean_rows(read_table(spark, layers.bronze, fmt=fmt), spec, run_ts)
+    classified = classified_rows(read_table(spark, layers.bronze, fmt=fmt), spec, run_ts)
     is_clean = F.col(REASON).isNull()
     seen = Observation()
     counters = (count.alias(name) for name, count in quality_counters(spec.rules).items())

@@ -163,6 +163,8 @@ def upsert_bucketed_table(
     better choice where every run touches most of a large table. Each run writes a new
     folder under ``location`` and then points the table to it, in one step. The folder that
     the table leaves is returned; it may be removed once no reader is left on it.
+
+    ``buckets`` is fixed by the first write; one bucket is one task, so aim at about 1 GB each.
     """
     keys = list(keys)
     if spark.catalog.tableExists(table):

@@ -110,3 +110,31 @@ def test_every_run_time_column_is_the_run_time(spark, tmp_path):
 def test_cleaning_has_one_exchange(spark):
     plan = QUERIES["silver_orders"](spark, "/root/testdata/sf0.001")
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
+def test_nothing_to_do(spark, tmp_path):
+    layers, result = run(spark, tmp_path, [], "2026-07-03 00:00:00")
+    assert set(result.counts.values()) == {0}
+    assert read_table(spark, layers.silver).columns == list(SILVER_COLUMNS)
+    assert read_table(spark, layers.silver).isEmpty()
+    assert not table_exists(spark, layers.gold)  # the first run with clean rows creates it
+    run(spark, tmp_path, SEED, "2026-07-04 00:00:00")
+    run(spark, tmp_path, [], "2026-07-05 00:00:00")
+    assert read_table(spark, layers.gold).count() == 3
+
+
+def test_nothing_but_rejects(spark, tmp_path):
+    data = [order(1, None, "1.00", "x", datetime(2026, 7, 1))]
+    layers, result = run(spark, tmp_path, data, "2026-07-03 00:00:00")
+    assert (result.n_clean, result.n_rejected) == (0, 1)
+    assert read_table(spark, layers.quarantine).count() == 1
+    assert read_table(spark, layers.silver).isEmpty()
+
+
+def test_staged_rows_are_removed_after_the_run(spark, tmp_path):
+    import os
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    run(spark, tmp_path, SEED, "2026-07-03 00:00:00")
+    assert set(os.listdir(shared)) == before

@@ -31,7 +31,7 @@ from layerflow import (
     upsert_table,
     write_snapshot,
 )
-from layerflow.plans.layers import clean_rows
+from layerflow.plans.layers import classified_rows
 from layerflow.plans.orders import LATEST_BY, QUARANTINE_PREVIEW, SOURCE_SYSTEM
 from workload.inputs import (
     AS_OF,
@@ -125,7 +125,7 @@ def conform_text_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_rows(raw_orders(spark, sf_dir), spec(), RUN_TS)
+    return classified_rows(raw_orders(spark, sf_dir), spec(), RUN_TS)
 
 
 def split_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
