@@ -18,7 +18,7 @@ from layerflow.operators.merge import (
     updated_columns,
 )
 from layerflow.sinks.writes import write_snapshot
-from layerflow.sources.tables import BUCKET_COLUMN, table_exists
+from layerflow.sources.tables import BUCKET_COLUMN, entry_names, table_exists
 
 # Formats that are plain files, which Spark can replace by directory but not merge into.
 FILE_FORMATS = ("parquet", "orc", "avro")
@@ -52,6 +52,8 @@ def upsert_table(
     ``buckets`` files of about 1 GB; ``buckets`` is fixed by the first write. Lost
     executors do no harm, but the replacing of directories at the end is not one atomic
     step, as it is with a transactional format, and frames that still read the old files fail.
+    A driver lost at that point leaves directories in Spark's staging folder under ``path``;
+    while there is one, be it of such a run or of a concurrent one, merges are refused.
     """
     keys = list(keys)
     exists = table_exists(spark, path)
@@ -62,6 +64,12 @@ def upsert_table(
             write_snapshot(updates, path, fmt=fmt)
         return
 
+    staging = [n for n in entry_names(spark, path) if n.startswith(".spark-staging")]
+    if staging:
+        raise RuntimeError(
+            f"{path} has a write that did not end: move the directories that {path} lacks "
+            f"out of {staging}, then remove it"
+        )
     if exists:
         target = spark.read.format(fmt).load(path)
         bucket = next((c for c in target.columns if BUCKET_COLUMN.fullmatch(c)), None)

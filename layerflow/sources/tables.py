@@ -43,11 +43,17 @@ def table_exists(
         raise ValueError("give either a path or a table name")
     if table:
         return spark.catalog.tableExists(table)
+    return any(
+        name == "_delta_log" or name[0] not in "_." for name in entry_names(spark, path)
+    )
+
+
+def entry_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and directories directly under ``path``; none if it is absent."""
     where, fs = _hadoop_path(spark, path)
     if not fs.exists(where):
-        return False
-    names = (entry.getPath().getName() for entry in fs.listStatus(where))
-    return any(name == "_delta_log" or name[0] not in "_." for name in names)
+        return []
+    return [entry.getPath().getName() for entry in fs.listStatus(where)]
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:

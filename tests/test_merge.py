@@ -263,8 +263,11 @@ def test_two_updates_of_one_key_leave_the_table_alone(spark, tmp_path, existing)
         upsert_table(spark, path, frame(spark, TARGET), ["k"], buckets=4)
     with pytest.raises(PySparkException, match="updates: more than one row"):
         upsert_table(spark, path, frame(spark, [(1, 1, "p"), (1, 2, "q")]), ["k"], buckets=4)
+    stored = TARGET if existing else []
     if existing:
-        assert rows(read_table(spark, path)) == sorted(TARGET, key=repr)
+        assert rows(read_table(spark, path)) == sorted(stored, key=repr)
+    upsert_table(spark, path, frame(spark, UPDATES), ["k"], buckets=4)  # nothing is in its way
+    assert rows(read_table(spark, path)) == brute_merge(stored, UPDATES)
 
 
 def test_updates_that_differ_between_reads_are_refused(spark, tmp_path):
@@ -292,6 +295,14 @@ def test_a_filter_within_the_updates_does_not_raise(spark, tmp_path):
     assert read_table(spark, path).count() == 200
 
 
+def test_a_write_that_did_not_end_blocks_the_next(spark, tmp_path):
+    path = f"{tmp_path}/gold"
+    upsert_table(spark, path, frame(spark, TARGET), ["k"], buckets=4)
+    os.makedirs(f"{path}/.spark-staging-1")
+    with pytest.raises(RuntimeError, match="did not end"):
+        upsert_table(spark, path, frame(spark, UPDATES), ["k"])
+
+
 # --- bucketed catalog tables ----------------------------------------------------------
 
 
