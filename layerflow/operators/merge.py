@@ -84,7 +84,8 @@ def merge_upsert(
     - otherwise: target left join updates, plus updates anti join matched keys. The many
       side is the left one, which adaptive execution can split where a key is hot.
 
-    Rows with null keys bypass every exchange.
+    Rows with null keys bypass every exchange. Both inputs are read more than once: store
+    what is costly to derive and pass the table.
     """
     keys = list(keys)
     update_cols = updated_columns(target, updates, keys, update_cols)

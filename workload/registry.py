@@ -363,7 +363,7 @@ def layers_second_run_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean orders merged into an older gold of every third order, its first ten by time."""
-    silver = silver_orders(spark, sf_dir)
+    silver = stored(silver_orders(spark, sf_dir))  # the merge reads it twice
     older = conform(
         load(spark, sf_dir, "orders")
         .filter(F.col("o_orderkey") % 3 == 0)
