@@ -138,3 +138,11 @@ def test_staged_rows_are_removed_after_the_run(spark, tmp_path):
     before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
     run(spark, tmp_path, SEED, "2026-07-03 00:00:00")
     assert set(os.listdir(shared)) == before
+
+
+def test_another_file_format(spark, tmp_path):
+    for stamp in ("2026-07-03 00:00:00", "2026-07-04 00:00:00"):
+        layers, result = run(spark, tmp_path, SEED, stamp, fmt="orc")
+    assert result.n_clean == 3
+    gold = read_table(spark, layers.gold, fmt="orc")
+    assert [r.silver_processed_at for r in gold.collect()] == [datetime(2026, 7, 4)] * 3

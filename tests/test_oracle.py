@@ -59,7 +59,7 @@ GOLDEN = {
 def test_golden_counts(spark, scale):
     sf_dir = f"{TESTDATA}/{scale}"
     rows, clean, customer, amount, time, total = GOLDEN[scale]
-    report = {r.outcome: r.n_rows for r in queries()["quality_report_orders"](spark, sf_dir).collect()}
+    report = {r.outcome: r.n_rows for r in queries()["quality_report"](spark, sf_dir).collect()}
     assert report == {
         "clean": clean,
         "Missing order_id": 1,

@@ -153,6 +153,9 @@ ORACLE = {
     "bronze_orders": BRONZE,
     "bronze_snapshot": BRONZE,
     "managed_table_snapshot": BRONZE,
+    "bronze_preview": f"""
+SELECT source_system, count(*) AS n_rows
+FROM ({BRONZE} LIMIT 5) some_rows GROUP BY source_system""",
     "dedupe_latest_orders": f"""
 WITH {RAW}, {latest("raw", "newest")}
 SELECT {RAW_COLUMNS} FROM newest""",
@@ -209,7 +212,7 @@ WITH {CLEANED}
 SELECT order_id, customer_id, total_amount, quarantine_reason
 FROM outcome WHERE quarantine_reason IS NOT NULL
 ORDER BY order_id NULLS FIRST LIMIT 5""",
-    "quality_report_orders": f"WITH {CLEANED} {REPORT}",
+    "quality_report": f"WITH {CLEANED} {REPORT}",
     "quality_totals_orders": f"""
 WITH {CLEANED}
 SELECT count(*) FILTER (WHERE quarantine_reason IS NULL) AS n_clean,

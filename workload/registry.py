@@ -80,6 +80,13 @@ def bronze_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query
+def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any five rows, so only their number and source are certain."""
+    rows = preview(bronze_orders(spark, sf_dir), 5, columns=["source_system"])
+    return rows.groupBy("source_system").agg(F.count("*").alias("n_rows"))
+
+
 @query
 def managed_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = f"layerflow_{uuid.uuid4().hex}"
@@ -148,11 +155,13 @@ def quarantine_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(rejected, 5, [F.col("order_id").asc_nulls_first()], QUARANTINE_PREVIEW)
 
 
-@query
 def quality_report_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(classified_orders(spark, sf_dir))
 
 
+QUERIES["quality_report"] = quality_report_orders
+
+
 @query
 def quality_totals_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = quality_counters(spec().rules)
