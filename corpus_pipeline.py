@@ -6,8 +6,10 @@ Counted as part of the ``llm`` subpackage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from layerflow.llm import decontaminate, quality, simhash
+from layerflow.llm import decontaminate, pii, quality, sentencepiece, simhash
+from layerflow.llm.queries import PII_KEY
 from layerflow.llm.training import stored
 
 
@@ -28,10 +30,23 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.drop_contaminated(docs, items)
 
 
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates for personal data; ``n_chars`` follows the text."""
+    changed = pii.replace_entities(docs, PII_KEY)
+    return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the ids of their text's pieces."""
+    return sentencepiece.encode(docs)
+
+
 STAGES = [
     ("quality rules", quality_stage),
     ("simhash near-dedup", near_copy_stage),
     ("benchmark decontamination", benchmark_stage),
+    ("personal data", personal_data_stage),
+    ("sentencepiece", pieces_stage),
 ]
 
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm import decontaminate, quality, simhash
+from layerflow.llm import decontaminate, pii, quality, sentencepiece, simhash
+
+# Surrogates are a function of it: a run that must not be linked to others takes a key of its own.
+PII_KEY = "layerflow surrogates"
 
 QUERIES = {}
 ORACLE = {}
@@ -27,6 +30,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, model, keep=["doc_id"])
 
 
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, PII_KEY, count_col="n_entities")
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether decoding them gives the text again."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sentencepiece.encode(docs, keep=["doc_id"], check_col="round_trip")
+    return rows.withColumn("n_ids", F.size("ids").cast("long"))
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.simhash_classes(load(spark, sf_dir, "documents"), shingle=3, max_bits=2)
