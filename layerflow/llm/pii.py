@@ -152,6 +152,15 @@ def _same_class(text: Column, stream: Column) -> Column:
     return _each(text, swap)
 
 
+def _longer(text: Column, stream: Column, attempt: Column) -> Column:
+    """Letters to add once the values of a length have proved too few, as for one-letter names."""
+    at = F.sequence(F.lit(8), attempt)
+    more = F.transform(
+        at, lambda i: _pick(ALPHABETS["[a-z]"], _byte(stream, F.length(text) + F.pmod(i, F.lit(32))))
+    )
+    return F.when(attempt >= 8, F.array_join(more, "")).otherwise("")
+
+
 def _digit_sum(digits: Column) -> Column:
     """Sum modulo 10 of the card checksum over all digits but the last, still missing one."""
     n = F.length(digits)
@@ -282,23 +291,19 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
             F.regexp_like(c, F.lit("[0-9]")), _pick("0123456789", _byte(stream, i))
         ).otherwise(_pick("abcdef", _byte(stream, i))),
     )
+    host = F.substr(value, F.lit(1), F.length(value) - F.length(suffix))
+    longer = _longer(value, stream, attempt)
     return (
-        F.when(kind == "email", F.concat(_same_class(local, stream), F.lit("@"), domain))
-        .when(
-            kind == "domain",
-            F.concat(
-                _same_class(F.substr(value, F.lit(1), F.length(value) - F.length(suffix)), stream),
-                suffix,
-            ),
-        )
+        F.when(kind == "email", F.concat(_same_class(local, stream), longer, F.lit("@"), domain))
+        .when(kind == "domain", F.concat(_same_class(host, stream), longer, suffix))
         .when(kind == "ip", _ip(value, stream, attempt))
         .when(kind == "card", _card(value, stream))
         .when(kind == "iban", _iban(value, stream))
         .when(kind == "ssn", _phone(value, stream))
         .when(kind == "phone", _phone(value, stream))
         .when(kind.isin(NAMES), _name(kind, value, stream, attempt))
-        .when(is_hex, hexed)
-        .otherwise(_same_class(value, stream))
+        .when(is_hex, F.concat(hexed, longer))
+        .otherwise(F.concat(_same_class(value, stream), longer))
     )
 
 
@@ -343,6 +348,8 @@ def _rendered(kind: Column, raw: Column, made: Column) -> Column:
             letter != F.lower(letter), F.upper(F.substr(made, i + 1, F.lit(1)))
         ).otherwise(F.substr(made, i + 1, F.lit(1))),
     )
+    # a surrogate may be longer than what it stands for
+    cased = F.concat(cased, F.substr(made, F.length(raw) + 1))
     name = F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(made)).otherwise(
         F.initcap(made)
     )

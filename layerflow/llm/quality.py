@@ -57,6 +57,7 @@ def _grams(points: Points, words: Runs) -> Iterator[tuple[np.ndarray, np.ndarray
     shift = np.uint64(64 - BUCKET_BITS)
     yield hashes >> shift, words.first, words.last
     pairs = mixed(hashes[:-1] * _PAIR + hashes[1:])
+    pairs[hashes[:-1] == hashes[1:]] = 0  # a word said twice, whatever the word
     yield pairs >> shift, words.first, np.maximum(words.first, words.last - 1)
 
 

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm import decontaminate, pii, quality, sentencepiece, simhash
+from layerflow.llm import (
+    chat,
+    decontaminate,
+    pii,
+    quality,
+    sentencepiece,
+    sharding,
+    simhash,
+    toxicity,
+    urls,
+)
 
 # Surrogates are a function of it: a run that must not be linked to others takes a key of its own.
 PII_KEY = "layerflow surrogates"
@@ -23,6 +33,15 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(docs, load(spark, sf_dir, "labels"), usable=~held_out)
+    rows = toxicity.score_toxicity(docs, model, keep=["doc_id"])
+    return rows.select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +49,31 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, model, keep=["doc_id"])
 
 
+SHARDS = [f"shard-{i:03d}" for i in range(128)]
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").drop("text")
+    return sharding.place(docs, SHARDS).select("doc_id", "slot", "shard")
+
+
+URL_RULES = [
+    urls.Rule(block=False, host="org", path="/"),
+    urls.Rule(block=True, host="example.org", path="/es/"),
+    urls.Rule(block=True, host="example.org", path="/en/1"),
+    urls.Rule(block=False, host="com", path="/fr/"),
+    urls.Rule(block=True, host="com", path="/de/"),
+]
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    model = urls.train(urls.rule_labels(pages, URL_RULES))
+    return urls.judge(pages, URL_RULES, model, keep=["page_id"])
+
+
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,3 +101,8 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark(docs, load(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("overlaps").alias("hit")).select("doc_id", "hit.*")
+
+
+@query
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate_perspectives(load(spark, sf_dir, "conversations"))
