@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from layerflow.llm import (
     chat,
     decontaminate,
+    licenses,
     pii,
     quality,
     sentencepiece,
@@ -74,6 +75,13 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES, model, keep=["page_id"])
 
 
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per paragraph taken for a licence notice."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
