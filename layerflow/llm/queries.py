@@ -113,4 +113,40 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.rotate_perspectives(load(spark, sf_dir, "conversations"))
+    """The mask as text, ``start-end`` of each range."""
+    rows = chat.rotate_perspectives(load(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"], m["end"]))
+    return rows.withColumn("mask", F.array_join(spans, ","))
+
+
+ORACLE["op10_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS speaker, coalesce(text, '') AS said,
+           row_number() OVER (PARTITION BY conv_id
+               ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) - 1 AS position
+    FROM conversations
+), speakers AS (
+    SELECT DISTINCT conv_id, speaker AS me FROM turns WHERE speaker <> 'system'
+), pieces AS (
+    SELECT turns.conv_id, me, position, position // 256 AS part, speaker = me AS learn,
+           CASE WHEN speaker = me THEN '<|im_start|>assistant'
+                WHEN speaker = 'system' THEN '<|im_start|>system'
+                ELSE '<|im_start|>user name=' || coalesce(nullif(
+                    regexp_replace(replace(speaker, '<|', '< |'), '[\s<>|]+', '_', 'g'), ''),
+                    'unknown')
+           END || chr(10) AS header,
+           replace(said, '<|', '< |') || '<|im_end|>' AS body
+    FROM turns JOIN speakers ON turns.conv_id IS NOT DISTINCT FROM speakers.conv_id
+), placed AS (
+    SELECT *, sum(length(header) + length(body) + 1)
+                  OVER (PARTITION BY conv_id, me, part ORDER BY position) - 1 AS stop
+    FROM pieces
+)
+SELECT conv_id, CASE WHEN me = '' THEN 'unknown' ELSE me END AS perspective, part,
+       count(*) AS n_turns, CAST(count(*) FILTER (learn) AS BIGINT) AS n_learned,
+       string_agg(header || body || chr(10), '' ORDER BY position) AS rendered,
+       coalesce(string_agg((stop - length(body))::BIGINT || '-' || stop::BIGINT, ','
+           ORDER BY position) FILTER (learn), '') AS mask
+FROM placed
+GROUP BY conv_id, me, part
+"""
