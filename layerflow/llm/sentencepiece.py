@@ -169,7 +169,7 @@ def merged(word: Column, edges: Column) -> Column:
 
     State: the borders as bits. An edge whose ends are borders with exactly one border between
     them is a merge that can be made; the best score goes first, then the leftmost. Words have
-    at most 62 letters.
+    at most 61 letters.
     """
     n = F.length(word)
     one = F.lit(1).cast("long")
@@ -206,7 +206,7 @@ def merged(word: Column, edges: Column) -> Column:
 
 
 def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word, ids`` of distinct words of at most 62 letters, by lattice and fold.
+    """``word, ids`` of distinct words of at most 61 letters, by lattice and fold.
 
     A unigram model takes the Viterbi path; a BPE model, whose scores rank merges and do not add
     up, takes the merges. A letter without a piece gives its bytes, or the unknown id.

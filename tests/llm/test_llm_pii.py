@@ -1,0 +1,138 @@
+"""Surrogates: formats, one entity one surrogate, none shared, nothing left behind."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from layerflow.llm import pii
+from layerflow.llm.queries import PII_KEY, QUERIES
+
+SCHEMA = "doc_id long, text string"
+
+
+def replaced(spark, rows, key="k"):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    return [tuple(r) for r in pii.replace_entities(docs, key, count_col="n").collect()]
+
+
+def luhn(number):
+    digits = [int(c) for c in reversed(re.sub(r"\D", "", number))]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def iban_holds(value):
+    value = re.sub(r"\s", "", value)
+    return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
+
+
+def test_formats(spark):
+    cases = {
+        1: ("john.smith@example.com", r"[a-z]{4}\.[a-z]{5}@[a-z]{7}\.com"),
+        2: ("J0HN-x@Mail.Example.COM", r"[A-Z]\d[A-Z]{2}-[a-z]@[A-Z][a-z]{3}\.[A-Z][a-z]{6}\.COM"),
+        3: ("+1 (415) 555-7713", r"\+1 \([2-9]\d\d\) \d{3}-\d{4}"),
+        4: ("415-555-7713", r"[2-9]\d\d-\d{3}-\d{4}"),
+        5: ("4111 1111 1111 1111", r"4\d{3} \d{4} \d{4} \d{4}"),
+        6: ("1234567890123456", r"1\d{15}"),
+        7: ("10.0.25.255", r"\d\d\.\d\.\d\d\.\d{3}"),
+        8: ("123-45-6789", r"\d{3}-\d\d-\d{4}"),
+        9: ("DE89 3704 0044 0532 0130 00", r"DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d"),
+        10: ("9c8b45435718dcc700c184a7e303cdc64c6a8f7f", r"[0-9][a-f][0-9][a-f][0-9a-f]{36}"),
+        11: ("9C8B45435718DCC700C184A7E303CDC6", r"[0-9][A-F][0-9][A-F][0-9A-F]{28}"),
+        12: ("Mr. John Smith", r"Mr\. [A-Z][a-z]+[nrls] [A-Z][a-z]+"),
+        13: ("Frau Anna Müller", r"Frau [A-Z][a-z]+a [A-Z][a-z]+"),
+        14: ("г-жа Мария Иванова", r"г-жа [А-Я][а-я]+а [А-Я][а-я]+[аеиоу]"),
+        15: ("MRS SMITH", None),  # no title as titles are written
+        16: ("иван@почта.рф", r"[а-я]{4}@[а-я]{5}\.рф"),
+        17: ("password = 'Hunter2xyz'", r"password = '[A-Z][a-z]{5}\d[a-z]{3}'"),
+    }
+    rows = [(i, f"see {text}, and so on") for i, (text, _) in cases.items()]
+    for doc_id, text, n in replaced(spark, rows):
+        given, pattern = cases[doc_id]
+        if pattern is None:
+            assert (text, n) == (f"see {given}, and so on", 0)
+            continue
+        assert n == 1
+        assert re.fullmatch(f"see {pattern}, and so on", text), (given, text)
+        assert given not in text
+        if doc_id in (5, 6):
+            assert luhn(text) == luhn(given)
+        if doc_id == 7:
+            assert all(0 < int(x) < 256 for x in re.search(r"[\d.]+", text)[0].split("."))
+        if doc_id == 9:
+            assert iban_holds(re.search(r"DE[\d ]+\d", text)[0])
+
+
+def test_one_entity_has_one_surrogate(spark):
+    rows = [
+        (1, "Mr. John Smith <John.Smith@Example.com>, +1 (415) 555-7713. Smith called."),
+        (2, "JOHN.SMITH@EXAMPLE.COM or +14155557713; Mrs. Eve Smith, eve@example.com"),
+    ]
+    one, two = (text for _, text, _ in sorted(replaced(spark, rows)))
+    surname = re.match(r"Mr\. \w+ (\w+)", one)[1]
+    assert one.endswith(f"{surname} called.") and f" {surname}, " in two
+    mail = re.search(r"<(.*)>", one)[1]
+    assert mail.upper() in two
+    domain = mail.split("@")[1].lower()
+    assert two.endswith("@" + domain)
+    assert re.sub(r"\D", "", one)[-11:] == re.sub(r"\D", "", two)
+    assert sorted(replaced(spark, rows)) == sorted(replaced(spark, rows))
+    assert sorted(replaced(spark, rows)) != sorted(replaced(spark, rows, key="other"))
+
+
+def test_crowded_formats_stay_distinct(spark):
+    """All one-letter names of a domain, and many one-digit addresses: values must be retried."""
+    mails = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz"]
+    hosts = [f"{a}.{b}.{c}.{d}" for a in range(1, 8) for b in range(1, 8) for c in (1, 2) for d in (3, 4)]
+    rows = list(enumerate(mails + hosts))
+    got = {i: text for i, text, _ in replaced(spark, rows)}
+    assert len(set(got.values())) == len(rows)
+    assert not set(got.values()) & {text for _, text in rows}
+
+
+def test_whole_table(spark):
+    sf_dir = f"{TESTDATA}/sf0.1"
+    before = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    rows = QUERIES["op6_pii"](spark, sf_dir).collect()
+    assert len(rows) == len(before)
+    # the kinds that these tables hold, found by other means
+    pattern = re.compile(
+        r"[\w.]+@[\w.]+\.\w+|\+\d \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|\b\d{1,3}(?:\.\d{1,3}){3}\b"
+        r"|\b(?:[0-9a-f]{32,40}|[0-9A-F]{32,40})\b"
+    )
+    mapping, changed = {}, 0
+    for row in rows:
+        old, new = pattern.findall(before[row.doc_id]), pattern.findall(row.text)
+        assert len(old) == len(new) == row.n_entities
+        assert pattern.sub("_", before[row.doc_id]) == pattern.sub("_", row.text)
+        for a, b in zip(old, new, strict=True):
+            assert len(a) == len(b) and a.lower() != b.lower()
+            assert mapping.setdefault(a.lower(), b.lower()) == b.lower()
+        changed += bool(old)
+    assert changed > 300
+    assert len(set(mapping.values())) == len(mapping)
+    assert not set(mapping.values()) & set(mapping)
+
+
+def test_edge_rows(spark):
+    rows = [
+        (1, None), (2, ""), (3, "a@b.cc"), (3, "a@b.cc"), (None, "a@b.cc"), (4, "nothing $1 \\E"),
+        (5, "p@q.rr " * 5000), (6, "x" * 200_000),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("kind", F.lit("k")).withColumn("raw", F.lit(1))
+    out = pii.replace_entities(docs, PII_KEY)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text) for r in out.collect() if r.doc_id != 1)
+    assert got[0][1] == got[2][1] == got[3][1] and re.fullmatch(r"[a-z]@[a-z]\.cc", got[0][1])
+    assert got[0][1] != "a@b.cc"
+    assert got[1] == (2, "") and got[4] == (4, "nothing $1 \\E") and got[6] == (6, "x" * 200_000)
+    assert re.fullmatch(r"(?:([a-z]@[a-z]\.rr) )(?:\1 )*", got[5][1])
+    assert pii.replace_entities(docs.limit(0), PII_KEY).count() == 0
+    with pytest.raises(ValueError):
+        pii.replace_entities(docs, PII_KEY, count_col="kind")
+
+
+def test_no_python_in_the_plan(spark):
+    plan = QUERIES["op6_pii"](spark, f"{TESTDATA}/sf0.001")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|ExistingRDD", plan)

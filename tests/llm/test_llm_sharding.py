@@ -1,0 +1,89 @@
+"""Shard placement: permutations, turns, balance, and little movement."""
+
+import random
+from collections import Counter
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from layerflow.llm import sharding
+from layerflow.llm.queries import QUERIES, SHARDS
+
+
+def slow_table(shards, size):
+    """Turn by turn, every order of preference written out."""
+    orders = {}
+    for name in shards:
+        offset, skip = sharding.preference(name, size)
+        orders[name] = [(offset + j * skip) % size for j in range(size)]
+        assert sorted(orders[name]) == list(range(size))
+    taken = {}
+    while len(taken) < size:
+        for name in sorted(shards):
+            if len(taken) < size:
+                taken[next(s for s in orders[name] if s not in taken)] = name
+    return taken
+
+
+@pytest.mark.parametrize("n,size", [(1, 7), (3, 13), (7, 251), (13, 13)])
+def test_turns(n, size):
+    shards = [f"s{i * 7 % n}" for i in range(n)]
+    table = sharding.lookup_table(shards, size)
+    assert {slot: shards[i] for slot, i in enumerate(table)} == slow_table(shards, size)
+    shares = Counter(table)
+    assert max(shares.values()) - min(shares.values()) <= 1
+    turned = shards[::-1]
+    assert [turned[i] for i in sharding.lookup_table(turned, size)] == [shards[i] for i in table]
+
+
+def test_little_moves_when_a_shard_leaves():
+    before = [SHARDS[i] for i in sharding.lookup_table(SHARDS)]
+    gone = SHARDS[40]
+    rest = [s for s in SHARDS if s != gone]
+    after = [rest[i] for i in sharding.lookup_table(rest)]
+    moved = sum(a != b for a, b in zip(before, after, strict=True) if a != gone)
+    assert moved < 0.02 * len(before)
+
+
+def test_whole_table(spark):
+    rows = QUERIES["op3_sharding"](spark, f"{TESTDATA}/sf0.1").collect()
+    assert len(rows) == 10_000
+    table = sharding.lookup_table(SHARDS)
+    for row in rows:
+        digest = xxhash.xxh64(row.doc_id.to_bytes(8, "little", signed=True), seed=42).intdigest()
+        signed = digest - (1 << 64) if digest >> 63 else digest
+        assert row.slot == signed % sharding.TABLE_SIZE
+        assert row.shard == SHARDS[table[row.slot]]
+    shares = Counter(r.shard for r in rows)
+    assert len(shares) == len(SHARDS) and max(shares.values()) < 130
+
+
+def test_no_shuffle(spark):
+    plan = QUERIES["op3_sharding"](spark, f"{TESTDATA}/sf0.01")._jdf.queryExecution().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_edge_rows(spark, tmp_path):
+    random.seed(1)
+    rows = [(None, f"t{i}") for i in range(300)] + [(5, "a"), (5, "a"), (6, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.withColumn("m", F.create_map(F.lit("a"), "text")).withColumn("part", F.lit(1))
+    placed = sharding.place(docs, SHARDS)
+    got = placed.collect()
+    assert len(got) == len(rows)
+    assert len({r.shard for r in got if r.doc_id is None}) > 60  # no hot shard of null keys
+    assert len({r.shard for r in got if r.doc_id == 5}) == 1
+    assert placed.columns == [*docs.columns, "slot", "shard"]
+    assert sharding.place(docs.limit(0), SHARDS).count() == 0
+    path = str(tmp_path / "shards")
+    sharding.write_shards(placed, path, files_per_shard=2)
+    back = spark.read.parquet(path)
+    assert back.count() == len(rows)
+    assert {(r.slot, r.shard) for r in back.collect()} == {(r.slot, r.shard) for r in got}
+    with pytest.raises(ValueError):
+        sharding.place(docs.withColumn("shard", F.lit("x")), SHARDS)
+    for shards, size in (([], 7), (["a", "a"], 7), (["a"], 8), (["a", "b", "c"], 2)):
+        with pytest.raises(ValueError):
+            sharding.lookup_table(shards, size)
