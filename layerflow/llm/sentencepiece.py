@@ -5,10 +5,11 @@ from __future__ import annotations
 import heapq
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ LONGEST_WORD = 24
 class Pieces:
     """A model's vocabulary: piece texts by id, scores, byte pieces, and how its pieces join."""
 
-    text: list[str]
+    text: tuple[str, ...]
     score: list[float]
     merges: bool  # a BPE model: scores rank merges; else a unigram model: scores add up
     usable: dict[str, int]  # pieces that text may be cut into
@@ -38,6 +39,10 @@ class Pieces:
     unknown: int
     rough: tuple[str, ...] = field(default=())  # pairs of letters that a piece joins across a cut
 
+    @property
+    def byte_pairs(self) -> tuple[tuple[int, int], ...]:
+        return tuple(sorted(self.byte_ids.items()))
+
     @property
     def longest(self) -> int:
         return max(map(len, self.usable))
@@ -66,7 +71,7 @@ def load_pieces(model_file: str = MODEL) -> Pieces:
         raise ValueError("pieces that span words are not supported")
     rough = {a + b for piece in usable for a, b in zip(piece, piece[1:]) if _cut_between(a, b)}
     return Pieces(
-        text=text,
+        text=tuple(text),
         score=[processor.get_score(i) for i in range(n)],
         merges=kind == proto.trainer_spec.BPE,
         usable=usable,
@@ -109,22 +114,35 @@ def words_of(text: str, rough: Sequence[str] = ()) -> list[str]:
 # --- the lattice ------------------------------------------------------------------------
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _bit(i: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), i)
+
+
 def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``word, edges``: every piece that occurs in the word, as (start, end, score, id) from 0.
+    """``word, edges``: every piece that occurs in the word, as an edge from border to border.
 
     Substrings of bounded length are exploded and equi-joined to the piece table, which is as
-    large as the vocabulary and therefore broadcast. Words must be distinct.
+    large as the vocabulary and therefore broadcast. Words must be distinct and have at most 61
+    letters. Edges hold ``start, end, score, id``, the bits of their two borders, and the bits
+    of the borders between them.
     """
     n = F.length("word")
-    start = F.explode(F.sequence(F.lit(0), n - 1)).alias("start")
-    cut = words.select("word", start)
+    cut = words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
     end = F.explode(
         F.sequence(F.col("start") + 1, F.least(F.col("start") + F.lit(longest), n))
     ).alias("end")
     cut = cut.select("word", "start", end).withColumn(
         "piece", F.substr("word", F.col("start") + 1, F.col("end") - F.col("start"))
     )
-    edge = F.struct("start", "end", "score", "id")
+    first, last = _bit(F.col("start")), _bit(F.col("end"))
+    edge = F.struct(
+        "start", "end", "score", "id", (first + last).alias("ends"), (last - 2 * first).alias("inner")
+    )
     found = cut.join(F.broadcast(pieces), "piece").select("word", edge.alias("edge"))
     grouped = found.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
     return words.join(grouped, "word", "left").select(
@@ -133,76 +151,65 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
 
 
 def viterbi(word: Column, edges: Column) -> Column:
-    """Borders of the best path by the sum of scores, folded over the word's positions.
+    """Borders of the best path by the sum of scores, as bits, folded over the word's positions.
 
     A letter without a piece is an edge of its own, with a score under every other. State: the
-    best score and borders for each position so far; of equal scores the shorter first edge wins.
+    best score and the borders up to each position so far.
     """
-    n = F.length(word)
-    state = F.array(
-        F.struct(F.lit(0.0).alias("score"), F.array(F.lit(0)).alias("borders"))
-    )
+    state = F.array(F.struct(F.lit(0.0).alias("score"), _bit(F.lit(0)).alias("borders")))
 
     def step(best, end):
         arriving = F.filter(edges, lambda e: e["end"] == end)
-        single = F.struct(
-            (end - 1).alias("start"), end.alias("end"), F.lit(-1e6).alias("score"), F.lit(-1).alias("id")
-        )
-        arriving = F.when(
-            F.exists(arriving, lambda e: e["start"] == end - 1), arriving
-        ).otherwise(F.array_append(arriving, single))
         paths = F.transform(
             arriving,
             lambda e: F.struct(
                 (best[e["start"]]["score"] + e["score"]).alias("score"),
-                F.array_append(best[e["start"]]["borders"], end).alias("borders"),
+                (best[e["start"]]["borders"] + _bit(end)).alias("borders"),
             ),
         )
-        return F.array_append(best, F.array_max(paths))
+        before = best[end - 1]
+        alone = F.struct(
+            (before["score"] - F.lit(1e6)).alias("score"),
+            (before["borders"] + _bit(end)).alias("borders"),
+        )
+        single = F.exists(arriving, lambda e: e["start"] == end - 1)
+        return F.array_append(
+            best, F.array_max(F.when(single, paths).otherwise(F.array_append(paths, alone)))
+        )
 
-    folded = F.aggregate(F.sequence(F.lit(1), n), state, step)
-    return folded[n]["borders"]
+    return F.element_at(F.aggregate(F.sequence(F.lit(1), F.length(word)), state, step), -1)["borders"]
 
 
 def merged(word: Column, edges: Column) -> Column:
-    """Borders after all merges of a BPE model, folded over as many steps as there are letters.
+    """Borders after all merges of a BPE model, as bits, folded over as many steps as letters.
 
-    State: the borders as bits. An edge whose ends are borders with exactly one border between
-    them is a merge that can be made; the best score goes first, then the leftmost. Words have
-    at most 61 letters.
+    State: the borders. An edge whose ends are borders with exactly one border between them is a
+    merge that can be made; the best score goes first, then the leftmost.
     """
     n = F.length(word)
-    one = F.lit(1).cast("long")
 
-    def bit(i):
-        return F.call_function("shiftleft", one, i)
-
-    def inner(borders, e):
-        # bits strictly between the edge's ends
-        return borders.bitwiseAND(bit(e["end"]) - F.lit(2) * bit(e["start"]))
+    def fold(longer):
+        def step(borders, _):
+            possible = F.filter(
+                longer,
+                lambda e: (borders.bitwiseAND(e["ends"]) == e["ends"])
+                & (F.bit_count(borders.bitwiseAND(e["inner"])) == 1),
+            )
+            ranked = F.transform(
+                possible,
+                lambda e: F.struct(
+                    e["score"].alias("score"), (-e["start"]).alias("left"), e["inner"].alias("inner")
+                ),
+            )
+            gone = F.coalesce(F.array_max(ranked)["inner"], F.lit(0).cast("long"))
+            return borders - borders.bitwiseAND(gone)
 
-    def step(borders, _):
-        possible = F.filter(
-            edges,
-            lambda e: (borders.bitwiseAND(bit(e["start"])) != 0)
-            & (borders.bitwiseAND(bit(e["end"])) != 0)
-            & (F.bit_count(inner(borders, e)) == 1),
-        )
-        ranked = F.transform(
-            possible,
-            lambda e: F.struct(
-                e["score"].alias("score"), (-e["start"]).alias("left"), inner(borders, e).alias("gone")
-            ),
-        )
-        best = F.array_max(ranked)
-        return F.when(best.isNull(), borders).otherwise(borders - best["gone"])
+        # each merge takes one border away, and an edge is merged once at most
+        steps = F.least(n - 1, F.size(longer))
+        steps = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, _bit(n + 1) - 1, step)
 
-    longer = F.filter(edges, lambda e: e["end"] - e["start"] > 1)
-    start = bit(n + 1) - 1
-    # no merge without an edge of two letters or more, and each takes one border away
-    steps = F.when(F.size(longer) > 0, F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))))
-    folded = F.aggregate(F.coalesce(steps, F.array().cast("array<int>")), start, step)
-    return F.filter(F.sequence(F.lit(0), n), lambda i: folded.bitwiseAND(bit(i)) != 0)
+    return _let(F.filter(edges, lambda e: e["end"] - e["start"] > 1), fold)
 
 
 def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -211,27 +218,47 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     A unigram model takes the Viterbi path; a BPE model, whose scores rank merges and do not add
     up, takes the merges. A letter without a piece gives its bytes, or the unknown id.
     """
-    spark = words.sparkSession
-    edges = lattice(words, pieces.table(spark), pieces.longest)
-    cut = merged if pieces.merges else viterbi
-    word = F.col("word")
-    borders = cut(word, F.col("edges")).alias("borders")
-    spans = edges.select("word", "edges", borders)
-    byte_id = F.create_map(*(F.lit(x) for pair in sorted(pieces.byte_ids.items()) for x in pair))
-
-    def ids(i):
-        start, end = F.col("borders")[i], F.col("borders")[i + 1]
-        known = F.filter("edges", lambda e: (e["start"] == start) & (e["end"] == end))
-        letter = F.hex(F.encode(F.substr(word, start + 1, F.lit(1)), "utf-8"))
-        at = F.sequence(F.lit(0), F.floor(F.length(letter) / 2).cast("int") - 1)
-        as_bytes = F.transform(
-            at, lambda j: byte_id[F.conv(F.substr(letter, 2 * j + 1, F.lit(2)), 16, 10).cast("int")]
+    rows = lattice(words, pieces.table(words.sparkSession), pieces.longest)
+    word, edges = F.col("word"), F.col("edges")
+    byte_id = F.create_map(
+        *(F.lit(x) for pair in sorted(pieces.byte_ids.items()) or [(0, 0)] for x in pair)
+    )
+
+    def bytes_of(letter):
+        code = F.hex(F.encode(letter, "utf-8"))
+        at = F.sequence(F.lit(0), F.floor(F.length(code) / 2).cast("int") - 1)
+        each = F.transform(
+            at, lambda j: byte_id[F.conv(F.substr(code, 2 * j + 1, F.lit(2)), 16, 10).cast("int")]
         )
-        other = as_bytes if pieces.byte_ids else F.array(F.lit(pieces.unknown))
-        return F.when(F.size(known) > 0, F.array(known[0]["id"])).otherwise(other)
+        return each if pieces.byte_ids else F.array(F.lit(pieces.unknown))
 
-    at = F.sequence(F.lit(0), F.size("borders") - 2)
-    return spans.select("word", F.flatten(F.transform(at, ids)).alias("ids"))
+    def ids(borders):
+        used = F.filter(
+            edges,
+            lambda e: (borders.bitwiseAND(e["ends"]) == e["ends"])
+            & (borders.bitwiseAND(e["inner"]) == 0),
+        )
+
+        def of(used):
+            known = F.transform(used, lambda e: F.struct(e["start"], F.array(e["id"])))
+            # letters that no piece covers
+            loose = F.filter(
+                F.sequence(F.lit(0), F.length(word) - 1),
+                lambda i: ~F.exists(used, lambda e: (e["start"] <= i) & (i < e["end"])),
+            )
+            spelled = F.transform(
+                loose, lambda i: F.struct(i.alias("start"), bytes_of(F.substr(word, i + 1, F.lit(1))))
+            )
+            every = F.sort_array(F.concat(known, spelled.cast("array<struct<start:int,col2:array<int>>>")))
+            whole = F.size(used) == F.bit_count(borders) - 1
+            return F.when(whole, F.transform(used, lambda e: e["id"])).otherwise(
+                F.flatten(F.transform(every, lambda p: p["col2"]))
+            )
+
+        return _let(used, of)
+
+    cut = merged if pieces.merges else viterbi
+    return rows.select("word", _let(cut(word, edges), ids).alias("ids"))
 
 
 # --- the same for one word, for words outside the dictionary -----------------------------------
@@ -299,15 +326,36 @@ def _viterbi_borders(word: str, pieces: Pieces) -> list[int]:
 # --- texts ------------------------------------------------------------------------------
 
 
+def _plain(text: str, rough: Sequence[str]) -> bool:
+    """Do the parts between the text's spaces have one mark each, and fine words inside?"""
+    return not (
+        "  " in text
+        or SPACE in text
+        or text[:1] == " "
+        or text[-1:] == " "
+        or any(pair in text for pair in rough)
+    )
+
+
 def word_counts(docs: DataFrame, pieces: Pieces, text_col: str = "text") -> DataFrame:
     """``word, n`` over all texts; counted per batch before anything is shuffled."""
     rough = pieces.rough
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            parts: Counter[str] = Counter()
             counts: Counter[str] = Counter()
             for text in batch.column(0).to_pylist():
-                counts.update(words_of(text or "", rough))
+                if not text:
+                    continue
+                if _plain(text, rough):
+                    parts.update(text.split(" "))
+                else:
+                    counts.update(words_of(text, rough))
+            for part, n in parts.items():  # each distinct part is cut once
+                for word in _FINE.findall(SPACE + part):
+                    if word:
+                        counts[word] += n
             yield pa.RecordBatch.from_pydict(
                 {
                     "word": pa.array(counts.keys(), pa.string()),
@@ -362,31 +410,22 @@ def encode(
     gives the text again.
     """
     pieces = pieces or load_pieces()
-    table = dictionary(docs, pieces, size=size, text_col=text_col).toArrow()
-    known = {
-        word: tuple(ids)
-        for word, ids in zip(table["word"].to_pylist(), table["ids"].to_pylist(), strict=True)
-    }
+    table = dictionary(docs, pieces, size=size, text_col=text_col).toArrow().combine_chunks()
+    shared = docs.sparkSession.sparkContext.broadcast((_packed(table), pieces))
     del table
-    shared = docs.sparkSession.sparkContext.broadcast((known, pieces))
 
     def compute(texts: list[str]) -> dict[str, Sequence]:
         known, pieces = shared.value
-        rare: dict[str, tuple[int, ...]] = {}
-        out, same = [], []
-        for text in texts:
-            ids: list[int] = []
-            for word in words_of(text, pieces.rough):
-                found = known.get(word) or rare.get(word)
-                if found is None:
-                    found = rare[word] = tuple(encode_word(word, pieces))
-                ids.extend(found)
-            out.append(ids)
-            if check_col:
-                same.append(decode_ids(ids, pieces) == text)
-        values: dict[str, Sequence] = {ids_col: out}
+        flat, offsets = encode_texts(texts, known, pieces)
+        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+        values: dict[str, Sequence] = {ids_col: ids}
         if check_col:
-            values[check_col] = same
+            # decoded as one, compared text by text
+            raw, at = _decoded_bytes(flat, offsets, pieces)
+            values[check_col] = [
+                raw[a:b].decode("utf-8", "replace").removeprefix(" ") == text
+                for a, b, text in zip(at, at[1:], texts, strict=False)
+            ]
         return values
 
     added = {ids_col: (pa.list_(pa.int32()), "array<int>")}
@@ -395,28 +434,84 @@ def encode(
     return add_from_text(docs, compute, added, text_col=text_col, keep=keep)
 
 
-def decode_ids(ids: Sequence[int], pieces: Pieces) -> str:
-    """The text of some ids: byte pieces together as UTF-8, marks as spaces, the first one gone."""
-    text = pieces.text
-    if not pieces.byte_ids:
-        joined = "".join([text[i] for i in ids])
-    else:
-        table = _bytes_of(pieces)
-        joined = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
-    return joined.replace(SPACE, " ").removeprefix(" ")
+def _packed(table: pa.Table) -> dict[str, bytes]:
+    """The dictionary as words and the bytes of their ids."""
+    if not table.num_rows:
+        return {}
+    lists = table["ids"].combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    offsets = (lists.offsets.to_numpy() * 4).tolist()
+    raw = lists.values.to_numpy().astype("<i4").tobytes()
+    words = table["word"].to_pylist()
+    return {w: raw[a:b] for w, a, b in zip(words, offsets, offsets[1:], strict=False)}
 
 
-_tables: dict[int, list[bytes]] = {}
+# Parts of texts between spaces that a worker has put together from words; dropped when full.
+CACHED_PARTS = 1 << 18
+_parts: dict[str, bytes] = {}
+_parts_of: list[object] = [None]
 
 
-def _bytes_of(pieces: Pieces) -> list[bytes]:
-    if id(pieces) not in _tables:
-        table = [piece.encode() for piece in pieces.text]
-        for byte, n in pieces.byte_ids.items():
-            table[n] = bytes([byte])
-        _tables.clear()
-        _tables[id(pieces)] = table
-    return _tables[id(pieces)]
+def encode_texts(
+    texts: Sequence[str], known: dict[str, bytes], pieces: Pieces
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts end to end, and each text's offset."""
+    if _parts_of[0] is not known or len(_parts) > CACHED_PARTS:
+        _parts.clear()
+        _parts_of[0] = known
+    rough = pieces.rough
+
+    def word_ids(word: str) -> bytes:
+        found = known.get(word)
+        if found is None:
+            found = np.array(encode_word(word, pieces), "<i4").tobytes()
+        return found
+
+    chunks: list[bytes] = []
+    sizes = [0]
+    for text in texts:
+        if not text:
+            sizes.append(0)
+            continue
+        if _plain(text, rough):
+            found = []
+            for part in text.split(" "):
+                ids = _parts.get(part)
+                if ids is None:
+                    words = _FINE.findall(SPACE + part)
+                    ids = _parts[part] = b"".join([word_ids(w) for w in words if w])
+                found.append(ids)
+        else:
+            found = [word_ids(w) for w in words_of(text, rough)]
+        chunk = b"".join(found)
+        chunks.append(chunk)
+        sizes.append(len(chunk) // 4)
+    return np.frombuffer(b"".join(chunks), "<i4"), np.cumsum(sizes)
+
+
+def decode_ids(ids: Sequence[int], pieces: Pieces) -> str:
+    """The text of some ids: byte pieces together as UTF-8, marks as spaces, the first one gone."""
+    flat = np.asarray(ids, np.int64)
+    raw, _ = _decoded_bytes(flat, np.array([0, len(flat)]), pieces)
+    return raw.decode("utf-8", "replace").removeprefix(" ")
+
+
+@lru_cache(maxsize=2)
+def _bytes_of(texts: tuple[str, ...], byte_ids: tuple[tuple[int, int], ...]):
+    table = [piece.replace(SPACE, " ").encode() for piece in texts]
+    for byte, n in byte_ids:
+        table[n] = bytes([byte])
+    sizes = np.array([len(b) for b in table])
+    return np.frombuffer(b"".join(table), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
+def _decoded_bytes(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> tuple[bytes, np.ndarray]:
+    """UTF-8 of all pieces end to end, and where each text's bytes begin."""
+    letters, starts, sizes = _bytes_of(pieces.text, pieces.byte_pairs)
+    size = sizes[flat]
+    ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
+    at = np.repeat(starts[flat] - ends[:-1], size) + np.arange(ends[-1])
+    return letters[at].tobytes(), ends[offsets]
 
 
 def decode(

@@ -61,7 +61,7 @@ def test_relational_fold_gives_what_the_library_gives(spark):
 
 def unigram():
     pieces = {"▁": -2.5, "a": -2.0, "b": -2.25, "ab": -3.0, "ba": -3.5, "aba": -6.0, "▁a": -3.0, "bb": -9.0}
-    text = ["<unk>", *pieces]
+    text = ("<unk>", *pieces)
     return sp.Pieces(
         text=text,
         score=[0.0, *pieces.values()],
