@@ -295,7 +295,7 @@ def score_toxicity(
             opens = np.ones(len(toxic), bool)
             opens[1:] = (toxic[1:] != toxic[:-1] + 1) | (doc[1:] != doc[:-1])
             begin = np.flatnonzero(opens)
-            end = np.append(begin[1:], len(toxic)) - 1
+            end = np.append(begin, len(toxic))[1:] - 1
             for a, b in zip(begin, end, strict=True):
                 at = points.starts[doc[a]]
                 spans[doc[a]].append(
