@@ -11,12 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerflow.llm.text import Points, Runs, add_from_text, per_text
+from layerflow.llm.text import Points, Runs, add_from_text, mixed, per_text, slices
 from layerflow.llm.training import fit_logistic, labelled_sample, sigmoid
 
 KINDS = 3  # the word, its first five letters, its last three
 BUCKET_BITS = 18
 PREFIX, SUFFIX = 5, 3
+CHUNK = 1 << 17  # tokens whose tables are held at once
 SEGMENT = 128  # tokens that are worked through side by side
 SKETCH = 16  # smallest word hashes that tell near copies among the training rows
 
@@ -38,10 +39,10 @@ class ToxicityModel:
     score: np.ndarray
 
     def marginals(self, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
-        return _forward_backward(_emission(self.weights, buckets), first, self.moves, self.begin)[0]
+        return _chunked(_emission(self.weights, buckets), first, self.moves, self.begin)[0]
 
-    def document_scores(self, p: np.ndarray, tokens: Runs) -> np.ndarray:
-        return sigmoid(_summary(p, tokens) @ self.score[:-1] + self.score[-1])
+    def document_scores(self, p: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return sigmoid(_summary(p, first, last) @ self.score[:-1] + self.score[-1])
 
 
 def tokens_of(points: Points) -> tuple[Runs, np.ndarray, np.ndarray]:
@@ -129,20 +130,33 @@ def _forward_backward(emission, first, moves, begin):
     return marginal, joint[:, :, ~first[:n]].sum(axis=2)
 
 
-def _firsts(tokens: Runs) -> np.ndarray:
-    first = np.zeros(len(tokens), bool)
-    first[tokens.first[tokens.last > tokens.first]] = True
-    return first
+def _chunked(emission, first, moves, begin):
+    """``_forward_backward`` over some whole texts at a time, so its tables stay small."""
+    starts = np.flatnonzero(first)
+    cuts = np.searchsorted(starts, np.arange(CHUNK, len(emission), CHUNK))
+    cuts = starts[cuts[cuts < len(starts)]]
+    cuts = np.unique(np.concatenate((np.zeros(1, np.int64), cuts, [len(emission)])))
+    p, counts = np.empty(len(emission)), np.zeros((2, 2))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        p[a:b], more = _forward_backward(emission[a:b], first[a:b], moves, begin)
+        counts += more
+    return p, counts
+
+
+def _firsts(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    begins = np.zeros(n, bool)
+    begins[first[last > first]] = True
+    return begins
 
 
-def _summary(p: np.ndarray, tokens: Runs) -> np.ndarray:
+def _summary(p: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Largest marginal, expected number of toxic words and their share, on scales of odds or logs."""
-    n = tokens.last - tokens.first
-    total = per_text(p, tokens.first, tokens.last)
+    n = last - first
+    total = per_text(p, first, last)
     most = np.zeros(len(n))
     some = n > 0
     if some.any():
-        most[some] = np.maximum.reduceat(p, tokens.first[some])
+        most[some] = np.maximum.reduceat(p, first[some])
     most = np.clip(most, 1e-4, 1 - 1e-4)
     share = total / np.maximum(1, n)
     return np.column_stack(
@@ -176,9 +190,9 @@ def label_tokens(
     A word counts once per group of copies. It is labelled where at least 4 toxic groups use it,
     and their share is at least 8 times that of the other groups.
     """
-    pairs = np.unique(np.column_stack((hashes, group[doc].astype(np.uint64))), axis=0)
-    of_group = toxic[pairs[:, 1].astype(np.int64)]
-    words, at = np.unique(pairs[:, 0], return_inverse=True)
+    _, kept = np.unique(mixed(hashes + group[doc].astype(np.uint64)), return_index=True)
+    of_group = toxic[group[doc[kept]]]
+    words, at = np.unique(hashes[kept], return_inverse=True)
     bad = np.bincount(at, of_group, len(words))
     good = np.bincount(at, 1 - of_group, len(words))
     leaders = np.unique(group)
@@ -192,34 +206,30 @@ def label_tokens(
 def _fit_chain(buckets, first, y, steps: int = 60, rate: float = 0.4, l2: float = 2e-6):
     """Weights, moves and beginning by Adam on the likelihood of the labelled tokens."""
     n = len(y)
-    width = KINDS << BUCKET_BITS
-    flat = buckets + (np.arange(KINDS, dtype=np.int64)[:, None] << BUCKET_BITS)
-    used, at = np.unique(flat, return_inverse=True)
-    at = at.reshape(flat.shape)
-    w = np.zeros(len(used) + 5)
-    inner = ~first
+    width = 1 << BUCKET_BITS
+    w = np.zeros(KINDS * width + 5)
     seen = np.zeros((2, 2))
-    pair = np.flatnonzero(inner)
+    pair = np.flatnonzero(~first)
     np.add.at(seen, (y[pair - 1], y[pair]), 1)
     w[-5:-1] = np.log((seen + 1) / (seen.sum(axis=1, keepdims=True) + 2)).reshape(-1)
-    w[-1] = np.log((y[first].sum() + 1) / (len(y[first]) + 2))
+    w[-1] = np.log((y[first].sum() + 1) / (first.sum() + 2))
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        emission = w[at].sum(axis=0)
-        p, moves = _forward_backward(emission, first, w[-5:-1].reshape(2, 2), w[-1])
-        grad = np.empty_like(w)
+        weights = w[:-5].reshape(KINDS, width)
+        p, moves = _chunked(_emission(weights, buckets), first, w[-5:-1].reshape(2, 2), w[-1])
         residual = y - p
-        grad[:-5] = np.bincount(at.reshape(-1), np.tile(residual, KINDS), len(used)) / n
+        grad = np.concatenate(
+            [np.bincount(kind, residual, width) for kind in buckets]
+            + [(seen - moves).reshape(-1), residual[first].sum(keepdims=True)]
+        )
+        grad /= n
         grad[:-5] -= l2 * w[:-5]
-        grad[-5:-1] = ((seen - moves) / n).reshape(-1)
-        grad[-1] = residual[first].sum() / n
         mean = 0.9 * mean + 0.1 * grad
         square = 0.99 * square + 0.01 * grad**2
         size = rate * (1 - t / (steps + 1))
         w += size * mean / (1 - 0.9**t) / (np.sqrt(square / (1 - 0.99**t)) + 1e-10)
-    weights = np.zeros(width, np.float32)
-    weights[used] = w[:-5]
-    return weights.reshape(KINDS, -1), w[-5:-1].reshape(2, 2), float(w[-1])
+    weights = w[:-5].reshape(KINDS, width).astype(np.float32)
+    return weights, w[-5:-1].reshape(2, 2), float(w[-1])
 
 
 def fit(texts: Sequence[str], labels: np.ndarray) -> ToxicityModel | None:
@@ -227,32 +237,36 @@ def fit(texts: Sequence[str], labels: np.ndarray) -> ToxicityModel | None:
     toxic = np.asarray(labels, float)
     if len(set(toxic)) < 2:
         return None
-    points = Points(texts)
-    tokens, hashes, buckets = tokens_of(points)
-    if not len(tokens):
+    parts = []
+    for a, b in slices(texts):
+        tokens, own, bucket = tokens_of(Points(texts[a:b]))
+        parts.append((tokens.last - tokens.first, own, bucket))
+    n = np.concatenate([part[0] for part in parts])
+    hashes = np.concatenate([part[1] for part in parts])
+    buckets = np.concatenate([part[2] for part in parts], axis=1)
+    del parts
+    if not len(hashes):
         return None
-    sketches = [
-        np.unique(hashes[a:b])[:SKETCH]
-        for a, b in zip(tokens.first, tokens.last, strict=True)
-    ]
-    group = _copy_groups(sketches)
+    last = np.cumsum(n)
+    first = last - n
+    doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    group = _copy_groups([np.unique(hashes[a:b])[:SKETCH] for a, b in zip(first, last, strict=True)])
     # whole groups go to one side, so that no text is scored by a copy of itself
     chain = group % 3 != 2
     if len(set(toxic[chain])) < 2 or len(set(toxic[~chain])) < 2:
         chain = np.ones(len(toxic), bool)
-    inside = chain[tokens.doc]
-    y = label_tokens(hashes[inside], tokens.doc[inside], toxic, group).astype(np.int64)
-    first = _firsts(tokens)
-    weights, moves, begin = _fit_chain(buckets[:, inside], first[inside], y)
-    p, _ = _forward_backward(_emission(weights, buckets), first, moves, begin)
+    inside = chain[doc]
+    y = label_tokens(hashes[inside], doc[inside], toxic, group).astype(np.int64)
+    begins = _firsts(first, last, len(hashes))
+    weights, moves, begin = _fit_chain(buckets[:, inside], begins[inside], y)
+    p, _ = _chunked(_emission(weights, buckets), begins, moves, begin)
     rest = ~chain if not chain.all() else chain
-    summary = _summary(p, tokens)
-    score = fit_logistic(summary[rest], toxic[rest], l2=1e-3)
+    score = fit_logistic(_summary(p, first, last)[rest], toxic[rest], l2=1e-3)
     return ToxicityModel(weights, moves, begin, score)
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, *, usable: Column | None = None, max_rows: int = 4000
+    docs: DataFrame, labels: DataFrame, *, usable: Column | None = None, max_rows: int = 3000
 ) -> ToxicityModel | None:
     """Fit on at most ``max_rows`` labelled documents; None where there are not both labels."""
     sample = labelled_sample(docs, labels, "toxic", max_rows, usable).orderBy("doc_id").toPandas()
@@ -288,8 +302,8 @@ def score_toxicity(
         if model is not None:
             points = Points(texts)
             tokens, _, buckets = tokens_of(points)
-            p = model.marginals(buckets, _firsts(tokens))
-            score = model.document_scores(p, tokens)
+            p = model.marginals(buckets, _firsts(tokens.first, tokens.last, len(tokens)))
+            score = model.document_scores(p, tokens.first, tokens.last)
             toxic = np.flatnonzero(p >= 0.5)
             doc = tokens.doc[toxic]
             opens = np.ones(len(toxic), bool)

@@ -1,6 +1,7 @@
 """Toxic spans: the chain against enumeration, scores on rows never learnt from."""
 
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -76,10 +77,28 @@ def test_held_out_labels_are_not_used(spark):
 
 
 def model():
-    bad = ["you utter dunce and you knave again", "what a dunce he is", "the knave and dunce sat"]
-    good = ["the fine morning came to us", "a boat went by", "and so we sat and read a book"]
-    texts = [f"{t} number {i * 'q'} {i * 'z'}" for i in range(30) for t in bad + good]
-    return toxicity.fit(texts, np.array([1, 1, 1, 0, 0, 0] * 30))
+    random.seed(9)
+    vocabulary = [f"word{c}{d}" for c in "abcdefghijklmnop" for d in "qrstuvwxyz"] + ["a", "boat"]
+    texts, toxic = [], []
+    for i in range(400):
+        words = random.choices(vocabulary, k=random.randint(3, 40))
+        toxic.append(i % 4 == 0)
+        for _ in range(random.randint(1, 3) * toxic[-1]):
+            words.insert(random.randint(0, len(words)), random.choice(["dunce", "knave"]))
+        texts.append(" ".join(words))
+    return toxicity.fit(texts, np.array(toxic, float))
+
+
+def test_chunks_give_the_same(monkeypatch):
+    rng = np.random.default_rng(1)
+    emission, moves = rng.normal(size=500), rng.normal(size=(2, 2))
+    first = rng.random(500) < 0.1
+    first[0] = True
+    p, counts = toxicity._forward_backward(emission, first, moves, 0.3)
+    for chunk in (1, 7, 100, 499, 500, 501):
+        monkeypatch.setattr(toxicity, "CHUNK", chunk)
+        q, more = toxicity._chunked(emission, first, moves, 0.3)
+        assert np.allclose(p, q) and np.allclose(counts, more)
 
 
 def test_edge_rows(spark):
