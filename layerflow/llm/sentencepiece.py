@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerflow.llm.text import add_from_text
+from layerflow.llm.text import add_from_text, let
 from layerflow.llm.training import stored
 
 SPACE = "▁"  # stands for a space inside pieces
@@ -114,11 +114,6 @@ def words_of(text: str, rough: Sequence[str] = ()) -> list[str]:
 # --- the lattice ------------------------------------------------------------------------
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), i)
 
@@ -209,7 +204,7 @@ def merged(word: Column, edges: Column) -> Column:
         steps = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
         return F.aggregate(steps, _bit(n + 1) - 1, step)
 
-    return _let(F.filter(edges, lambda e: e["end"] - e["start"] > 1), fold)
+    return let(F.filter(edges, lambda e: e["end"] - e["start"] > 1), fold)
 
 
 def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -255,10 +250,10 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
                 F.flatten(F.transform(every, lambda p: p["col2"]))
             )
 
-        return _let(used, of)
+        return let(used, of)
 
     cut = merged if pieces.merges else viterbi
-    return rows.select("word", _let(cut(word, edges), ids).alias("ids"))
+    return rows.select("word", let(cut(word, edges), ids).alias("ids"))
 
 
 # --- the same for one word, for words outside the dictionary -----------------------------------

@@ -7,7 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Code points handled at once: bounds a task's memory; a longer text is a slice of its own.
@@ -126,6 +127,11 @@ def per_text(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndar
     return total[np.minimum(last, n)] - total[np.minimum(first, n)]
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def add_from_text(
     docs: DataFrame,
     compute: Callable[[list[str]], Mapping[str, Sequence]],

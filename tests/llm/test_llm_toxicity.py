@@ -103,10 +103,10 @@ def test_chunks_give_the_same(monkeypatch):
 
 def test_edge_rows(spark):
     fitted = model()
-    long = "the fine morning came to us " * 40_000
+    long = "wordaq wordbr wordcs " * 40_000
     rows = [
-        (1, None), (2, ""), (3, "he is a Dunce, DUNCE indeed"), (3, "he is a Dunce, DUNCE indeed"),
-        (None, "a boat went by"), (4, long), (5, "?!"), (6, "dunce"),
+        (1, None), (2, ""), (3, "wordaq a Dunce, DUNCE wordbr"), (3, "wordaq a Dunce, DUNCE wordbr"),
+        (None, "wordaq wordbr boat"), (4, long), (5, "?!"), (6, "wordes dunce"),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(0))
     with pytest.raises(ValueError):
