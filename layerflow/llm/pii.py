@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerflow.llm.text import let
 from layerflow.llm.training import stored
 
 MALE = "Mr Mister Sir Herr Señor Sr Monsieur Господин г-н Κύριος".split()
@@ -17,22 +18,34 @@ FEMALE = "Mrs Ms Miss Madam Lady Frau Señora Señorita Sra Srta Madame Mademois
 FEMALE += "Госпожа г-жа Κυρία".split()
 TITLE = "(?:" + "|".join(sorted(MALE + FEMALE, key=len, reverse=True)) + ")"
 
+# Each pattern begins with a look at one letter, which is all that most positions cost.
 _WORD = r"\p{Lu}[\p{L}'’-]*"
-NAME = rf"(?<!\p{{L}}){TITLE}\.? {_WORD}(?: {_WORD}){{0,2}}"
+_TITLED = rf"(?=[{''.join(sorted({t[0] for t in MALE + FEMALE}))}])(?<!\p{{L}}){TITLE}\.? "
+NAME = rf"{_TITLED}{_WORD}(?: {_WORD}){{0,2}}"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
-HEX = r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"
+HEX = (
+    r"(?=[0-9A-Fa-f]{32})(?<![\p{L}\p{N}])(?=[A-Fa-f]*[0-9])"
+    r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"
+)
 ASSIGNED = (
-    r"(?<=(?i:token|secret|password|api_key|apikey) ?[=:] ?[\"'])[^\"'\s]{6,200}(?=[\"'])"
+    r"(?<=[\"'])(?<=(?i:token|secret|password|api_key|apikey) ?[=:] ?[\"'])"
+    r"[^\"'\s]{6,200}(?=[\"'])"
+)
+IBAN = (
+    r"(?=[A-Z]{2}\d{2})(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+    r"(?![\p{L}\p{N}])"
 )
-IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
-IP = r"(?<![\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\p{N})"
-CARD = r"(?<!\p{N})(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?!\p{N})"
-SSN = r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"
+IP = r"(?=\d)(?<![\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\p{N})"
+CARD = r"(?=\d{4})(?<!\p{N})(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?!\p{N})"
+SSN = r"(?=\d{3}-)(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"
 PHONE = (
-    r"(?<![\p{N}+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
+    r"(?=[+(0-9])(?<![\p{N}+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
     r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\d{3}[.-]\d{3}[.-]\d{4})(?!\p{N})"
 )
 ENTITY = "|".join([NAME, EMAIL, HEX, ASSIGNED, IBAN, IP, CARD, SSN, PHONE])
+# Every entity but a name holds one of these, or stands between quotation marks.
+HINT = "[0-9@\"']"
+NAME_HINT = rf"{_TITLED}\p{{Lu}}"
 
 # Letters that stand in for letters of the same script, by position.
 ALPHABETS = {
@@ -281,6 +294,10 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         ),
         "",
     )
+    return let(stream, lambda stream: _made(kind, value, attempt, stream))
+
+
+def _made(kind: Column, value: Column, attempt: Column, stream: Column) -> Column:
     local = F.substring_index(value, "@", 1)
     domain = F.substring_index(value, "@", -1)
     suffix = F.concat(F.lit("."), F.substring_index(value, ".", -1))
@@ -365,6 +382,12 @@ def _key_of(part: Column) -> Column:
     return F.concat_ws(_SEP, part["kind"], part["raw"])
 
 
+def has_entity(text: Column) -> Column:
+    """Is there any mention? Two cheap looks spare most texts the full pattern; null gives false."""
+    hint = text.rlike(HINT) | text.rlike(NAME_HINT)
+    return F.coalesce(hint & text.rlike(ENTITY), F.lit(False))
+
+
 def _text_key(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -374,7 +397,7 @@ def mentions(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.col(text_col)
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
     # a filter and no generator first, so that texts without entities are hashed by nobody
-    some = docs.where(text.rlike(ENTITY)).select(_text_key(text).alias("text_key"), found.alias("m"))
+    some = docs.where(has_entity(text)).select(_text_key(text).alias("text_key"), found.alias("m"))
     each = some.select("text_key", F.explode("m").alias("m"))
     return each.select("text_key", F.explode(parts_of(F.col("m"))).alias("part")).select(
         "text_key", "part.*"
@@ -415,12 +438,12 @@ def replace_entities(
         .agg(F.map_from_entries(F.collect_set("entry")).alias(names[1]))
         .withColumnRenamed("text_key", names[0])
     )
-    has = text.isNotNull() & text.rlike(ENTITY)
+    has = has_entity(text)
     some = docs.where(has).withColumn(names[0], _text_key(text)).join(maps, names[0], "left")
     some = some.withColumn(names[2], F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
     new = _rebuilt(text, F.col(names[2]), F.col(names[1]))
     columns = [new.alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    rest = docs.where(F.coalesce(~has, F.lit(True)))
+    rest = docs.where(~has)
     if count_col is None:
         return some.select(*columns).union(rest)
     counted = F.size(names[2]).cast("long").alias(count_col)
