@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerflow.llm.text import add_from_text, let
+from layerflow.llm.text import add_from_text, let, slices
 from layerflow.llm.training import stored
 
 SPACE = "▁"  # stands for a space inside pieces
@@ -23,8 +23,10 @@ TOKENIZERS = "/opt/tokenizers"
 MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 # Words that the lattice encodes for the shared dictionary: the most frequent ones, so its size
 # is bounded whatever the corpus; longer and rarer words are encoded in the batch.
-DICTIONARY_WORDS = 1 << 19
+DICTIONARY_WORDS = 1 << 18
 LONGEST_WORD = 24
+# Characters whose words are counted before the counts go to the shuffle; bounds a task's memory.
+COUNTED_CHARS = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -332,31 +334,36 @@ def _plain(text: str, rough: Sequence[str]) -> bool:
     )
 
 
+def _count_words(texts: Sequence[str], rough: Sequence[str]) -> Counter[str]:
+    parts: Counter[str] = Counter()
+    counts: Counter[str] = Counter()
+    for text in texts:
+        if text and _plain(text, rough):
+            parts.update(text.split(" "))
+        else:
+            counts.update(words_of(text, rough))
+    for part, n in parts.items():  # each distinct part is cut once
+        for word in _FINE.findall(SPACE + part):
+            if word:
+                counts[word] += n
+    return counts
+
+
 def word_counts(docs: DataFrame, pieces: Pieces, text_col: str = "text") -> DataFrame:
     """``word, n`` over all texts; counted per batch before anything is shuffled."""
     rough = pieces.rough
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts: Counter[str] = Counter()
-            counts: Counter[str] = Counter()
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                if _plain(text, rough):
-                    parts.update(text.split(" "))
-                else:
-                    counts.update(words_of(text, rough))
-            for part, n in parts.items():  # each distinct part is cut once
-                for word in _FINE.findall(SPACE + part):
-                    if word:
-                        counts[word] += n
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "word": pa.array(counts.keys(), pa.string()),
-                    "n": pa.array(counts.values(), pa.int64()),
-                }
-            )
+            texts = [text or "" for text in batch.column(0).to_pylist()]
+            for start, end in slices(texts, COUNTED_CHARS):
+                counts = _count_words(texts[start:end], rough)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "word": pa.array(counts.keys(), pa.string()),
+                        "n": pa.array(counts.values(), pa.int64()),
+                    }
+                )
 
     partial = docs.select(text_col).mapInArrow(count, "word string, n long")
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
@@ -442,7 +449,7 @@ def _packed(table: pa.Table) -> dict[str, bytes]:
 
 
 # Parts of texts between spaces that a worker has put together from words; dropped when full.
-CACHED_PARTS = 1 << 18
+CACHED_PARTS = 1 << 17
 _parts: dict[str, bytes] = {}
 _parts_of: list[object] = [None]
 
