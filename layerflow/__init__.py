@@ -16,6 +16,7 @@ from layerflow.operators import (
 from layerflow.plans import LayerRun, TableSpec, orders_spec, run_layers
 from layerflow.sinks import (
     append_rows,
+    rebucket,
     stage_table,
     upsert_bucketed_table,
     upsert_table,
@@ -53,6 +54,7 @@ __all__ = [
     "quality_report",
     "read_jdbc",
     "read_table",
+    "rebucket",
     "run_layers",
     "shared_folder",
     "split_by_quality",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerflow.functions import any_null
@@ -21,11 +21,23 @@ def align_updates(target: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
     def column(name: str, kind) -> Column:
         if name not in given:
             return F.lit(None).cast(kind).alias(name)
+        if name in keys and given[name] != kind:
+            return _same_value(name, given[name], kind).alias(name)
         return F.col(name) if given[name] == kind else F.col(name).cast(kind).alias(name)
 
     return updates.select(*(column(f.name, f.dataType) for f in target.schema))
 
 
+def _same_value(key: str, given, kind) -> Column:
+    """A key in the target's type; fails the query where that type cannot hold its value."""
+    there = F.col(key).try_cast(kind)
+    kept = F.coalesce(there.try_cast(given) == F.col(key), F.lit(False))
+    error = F.raise_error(
+        F.concat(F.lit(f"{key}: not a {kind.simpleString()}: "), F.col(key).cast("string"))
+    )
+    return F.when(F.col(key).isNull() | kept, there).otherwise(error.cast(kind))
+
+
 def updated_columns(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None
 ) -> list[str]:
@@ -60,31 +72,74 @@ def _overwrite(
     )
 
 
+def merge_tagged(
+    both: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    update_cols: Sequence[str],
+    laid_out_by: Sequence[str] = (),
+    other_error: Column | None = None,
+) -> DataFrame:
+    """One row per key of stored rows (``_is_update`` 0) and updates (1), in one exchange and sort.
+
+    In key order the stored row comes just before its update, so looking one row ahead
+    tells that it is superseded, and one row back finds the values that it passes on. A key that
+    occurs twice on either side fails the query. ``laid_out_by`` goes before the key, for rows
+    that lie by it already; ``columns`` are those of the result.
+    """
+    pair = Window.partitionBy(*laid_out_by, *keys).orderBy("_is_update")
+    added = {"_follower": F.lead("_is_update").over(pair)}
+    kept = [*update_cols, *keys, *laid_out_by]
+    passed_on = [c for c in columns if c not in kept]
+    if passed_on:
+        added["_old"] = F.lag(F.struct(*passed_on)).over(pair)
+    paired = both.withColumns(added)
+
+    is_update, follower = F.col("_is_update") == 1, F.col("_follower")
+    # The error must depend on the window: one on the updates' columns alone would be
+    # pushed into the updates, and raised for rows that some filter there drops.
+    error = F.when(is_update & (follower == 1), duplicate_key_error(keys, "updates")).when(
+        ~is_update & (follower == 0), duplicate_key_error(keys, "table")
+    )
+    if other_error is not None:
+        error = error.otherwise(other_error)
+
+    def column(name: str) -> Column:
+        if name in passed_on:
+            had_old = is_update & F.col("_old").isNotNull()
+            return F.when(had_old, F.col("_old")[name]).otherwise(F.col(name)).alias(name)
+        return F.col(name)
+
+    last = paired.filter(error.isNull() & follower.isNull())
+    return last.select(*(column(c) for c in columns))
+
+
 def merge_upsert(
     target: DataFrame,
     updates: DataFrame,
     keys: Sequence[str],
     update_cols: Sequence[str] | None = None,
     *,
-    unique_target: bool = False,
+    unique_target: bool = True,
     unique_updates: bool = False,
 ) -> DataFrame:
     """``target`` after matched rows take ``update_cols`` from ``updates`` and the rest is inserted.
 
     Target rows without a match stay. A key with a null part matches nothing, so such
-    updates are inserted. Two updates with one key fail the query when it runs, unless
-    ``unique_updates`` says the caller has made sure. Every target row that matches is
-    updated, however many share the key; ``unique_target`` says there are no such copies,
-    which allows a cheaper plan when all columns are overwritten.
+    updates are inserted. Two updates with one key fail the query when it runs.
 
-    Plans, each side being small enough to broadcast or not as Spark finds out by size:
+    Plans:
 
-    - unique target, all columns: target anti join update keys, then the updates as they
-      are. Update rows are not shuffled, and the target only if the keys do not fit.
-    - otherwise: target left join updates, plus updates anti join matched keys. The many
-      side is the left one, which adaptive execution can split where a key is hot.
+    - default: the target has one row per key, or the query fails. Both sides are united, pass
+      one exchange on the key and one sort, which also prove both sides' keys unique.
+    - ``unique_updates``, with all columns overwritten: the caller has made sure of both sides.
+      Target anti join update keys, then the updates as they are, which are not shuffled; nor is
+      the target, if Spark finds the keys small enough to broadcast.
+    - ``unique_target=False``: many target rows may share a key, and each of them is updated.
+      Target left join updates, plus updates anti join matched keys. The many side is the left
+      one, which adaptive execution can split where a key is hot.
 
-    Rows with null keys bypass every exchange. Both inputs are read more than once: store
+    Rows with null keys bypass every exchange. Both inputs are read twice or more: store
     what is costly to derive and pass the table.
     """
     keys = list(keys)
@@ -92,30 +147,37 @@ def merge_upsert(
     complete = len(update_cols) + len(keys) == len(target.columns)
     updates = align_updates(target, updates, keys)
     keyed = updates.filter(~any_null(keys))
+    present, keyless = target.filter(~any_null(keys)), target.filter(any_null(keys))
 
-    if unique_updates:
-        update_keys, guard = keyed.select(*keys), None
-    else:
-        counted = keyed.groupBy(*keys).agg(F.count("*").alias("_n"))
-        update_keys = counted.filter(F.col("_n") == 1).select(*keys)
-        error = duplicate_key_error(keys, "updates")
-        # no rows, but the error: as a union branch it runs whatever the joins are reduced to
-        guard = counted.filter(F.when(F.col("_n") > 1, error).isNotNull()).select(
-            *(
-                F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in target.schema
-            )
+    if unique_target and unique_updates and complete:
+        merged = present.join(keyed.select(*keys), keys, "left_anti").select(*target.columns)
+        return merged.unionByName(updates).unionByName(keyless)
+    loose = keyless.unionByName(updates.filter(any_null(keys)))
+    if unique_target:
+        both = present.withColumn("_is_update", F.lit(0)).unionByName(
+            keyed.withColumn("_is_update", F.lit(1))
         )
+        return merge_tagged(both, target.columns, keys, update_cols).unionByName(loose)
 
-    present, keyless = target.filter(~any_null(keys)), target.filter(any_null(keys))
-    if unique_target and complete:
-        merged = present.join(update_keys, keys, "left_anti").unionByName(updates)
-    else:
-        matched = _overwrite(present, keyed, keys, update_cols) if update_cols else present
-        # distinct combines copies of a hot key before its exchange; Spark moves the semi
-        # join below it when the update keys are small enough to broadcast
-        known = present.select(*keys).distinct().join(update_keys, keys, "left_semi")
-        inserted = keyed.join(known, keys, "left_anti")
-        merged = matched.unionByName(inserted).unionByName(updates.filter(any_null(keys)))
-    merged = merged.select(*target.columns).unionByName(keyless)
-    return merged if guard is None else merged.unionByName(guard)
+    matched = _overwrite(present, keyed, keys, update_cols) if update_cols else present
+    # distinct combines copies of a hot key before its exchange
+    known = present.select(*keys).distinct()
+    inserted = keyed.join(known, keys, "left_anti").select(*target.columns)
+    merged = matched.select(*target.columns).unionByName(inserted).unionByName(loose)
+    return merged if unique_updates else merged.unionByName(_guard(keyed, keys))
+
+
+def _guard(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """No rows, but an error where two updates have one key.
+
+    A branch of its own: a check below the join would keep adaptive execution from splitting a
+    hot key there.
+    """
+    counted = updates.groupBy(*keys).agg(F.count("*").alias("_n"))
+    error = duplicate_key_error(keys, "updates")
+    return counted.filter(F.when(F.col("_n") > 1, error).isNotNull()).select(
+        *(
+            F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in updates.schema
+        )
+    )

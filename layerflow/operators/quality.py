@@ -17,11 +17,18 @@ CLEAN = "clean"
 
 @dataclass(frozen=True)
 class Rule:
-    """``passes`` must be true for a row to be clean; false and null both fail."""
+    """``passes`` must be true for a row to be clean; false and null both fail.
+
+    The reason is any text but an empty one and ``clean``, under which clean rows are counted.
+    """
 
     reason: str
     passes: Column
 
+    def __post_init__(self) -> None:
+        if not isinstance(self.reason, str) or not self.reason or self.reason == CLEAN:
+            raise ValueError(f"not a reason: {self.reason!r}")
+
     @classmethod
     def not_null(cls, column: str, reason: str) -> Rule:
         return cls(reason, F.col(column).isNotNull())

@@ -11,7 +11,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.functions import Category, FixedDecimal, ParseTime
+from layerflow.functions import Category, FixedDecimal, ParseTime, any_null
 from layerflow.operators import (
     Rule,
     add_audit_columns,
@@ -22,9 +22,12 @@ from layerflow.operators import (
     split_by_quality,
 )
 from layerflow.operators.quality import CLEAN, REASON
-from layerflow.sinks import append_rows, stage_table, upsert_table, write_snapshot
+from layerflow.sinks import append_rows, upsert_bucketed_table, upsert_table, write_snapshot
+from layerflow.sinks.upsert import check_mergeable
 from layerflow.sources import Layers, read_table
-from layerflow.sources.tables import discard
+from layerflow.sources.tables import discard, shared_folder
+
+_VERSIONS = "_n_versions"
 
 
 @dataclass(frozen=True)
@@ -42,9 +45,16 @@ class TableSpec:
 
 @dataclass
 class LayerRun:
-    """Rows per outcome (``clean`` and each reason), and seconds per step."""
+    """Rows per outcome (``clean`` and each reason), what dedupe left out, and seconds per step.
+
+    ``n_read`` bronze rows are ``n_clean``, ``n_rejected``, ``n_superseded`` older versions, and
+    ``n_collapsed`` rows with a null key that others of that key stand for.
+    """
 
     counts: dict[str, int] = field(default_factory=dict)
+    n_read: int = 0
+    n_superseded: int = 0
+    n_collapsed: int = 0
     seconds: dict[str, float] = field(default_factory=dict)
 
     @property
@@ -57,10 +67,15 @@ class LayerRun:
 
 
 def classified_rows(
-    bronze: DataFrame, spec: TableSpec, run_ts: str | datetime | Column
+    bronze: DataFrame,
+    spec: TableSpec,
+    run_ts: str | datetime | Column,
+    n_versions: str | None = None,
 ) -> DataFrame:
     """Bronze rows deduplicated, conformed and classified: silver and quarantine in one frame."""
-    latest = dedupe_latest(bronze, spec.keys, spec.latest_by, spec.null_keys)
+    latest = dedupe_latest(
+        bronze, spec.keys, spec.latest_by, spec.null_keys, n_versions=n_versions
+    )
     return classify(conform(latest, spec.conform, run_ts), spec.rules)
 
 
@@ -82,38 +97,56 @@ def clean(
     run_ts: str | datetime | Column,
     fmt: str = "parquet",
     run_id: str | None = None,
-) -> dict[str, int]:
-    """Replace silver by bronze's clean rows, append the others to quarantine, count both.
+) -> LayerRun:
+    """Replace silver by bronze's clean rows, append the others to quarantine, count all.
 
     The costly part, reading bronze and its exchange on the key, runs once: its result is
     written to the shared folder, split by outcome, so that each sink reads its own part
-    and columns. The counts are observed on that write.
+    and columns. The counts are observed on that write, past the exchange, so that a task that
+    runs again does not count twice; each row brings the number of bronze rows it stands for.
     """
-    classified = classified_rows(read_table(spark, layers.bronze, fmt=fmt), spec, run_ts)
-    is_clean = F.col(REASON).isNull()
+    bronze = read_table(spark, layers.bronze, fmt=fmt)
+    versions = F.col(_VERSIONS)
+    classified = classified_rows(bronze, spec, run_ts, _VERSIONS)
+    is_clean, no_key = F.col(REASON).isNull(), any_null(spec.keys)
     seen = Observation()
-    counters = (count.alias(name) for name, count in quality_counters(spec.rules).items())
-    needed = classified.observe(seen, *counters).select(
+    outcomes = quality_counters(spec.rules)
+    # the aggregates go by number: a reason may be any text
+    counters = [
+        F.count("*"),
+        F.coalesce(F.sum(versions), F.lit(0)),
+        F.coalesce(F.sum(F.when(no_key, versions)), F.lit(0)),
+        F.count_if(no_key),
+        *outcomes.values(),
+    ]
+    needed = classified.observe(seen, *(c.alias(f"n{i}") for i, c in enumerate(counters))).select(
         is_clean.alias("_is_clean"),
         # clean rows go on with silver's columns only: nulls cost next to nothing to store
         *(
             F.col(c) if c in spec.silver_columns else F.when(~is_clean, F.col(c)).alias(c)
             for c in classified.columns
+            if c != _VERSIONS
         ),
     )
-    staged = stage_table(needed, "layerflow-classified", partition_by=["_is_clean"])
-    counts = dict(seen.get)
-
-    outcomes = spark.read.schema(needed.schema).parquet(staged)
-    silver, _ = split_by_quality(outcomes.filter("_is_clean"), spec.silver_columns, run_ts)
-    _, rejected = split_by_quality(
-        outcomes.filter("NOT _is_clean").drop("_is_clean"), spec.silver_columns, run_ts
-    )
-    write_snapshot(silver, layers.silver, fmt=fmt)
-    n_rejected = sum(counts.values()) - counts[CLEAN]
-    append_rows(rejected, layers.quarantine, fmt=fmt, n_rows=n_rejected, run_id=run_id)
-    discard(spark, staged)
-    return counts
+    staged = shared_folder(spark, "layerflow-classified")
+    try:
+        needed.write.partitionBy("_is_clean").parquet(staged)
+        numbers = [seen.get[f"n{i}"] for i in range(len(counters))]
+        total, read, read_no_key, kept_no_key = numbers[:4]
+        run = LayerRun(dict(zip(outcomes, numbers[4:], strict=True)), n_read=read)
+        run.n_collapsed = read_no_key - kept_no_key
+        run.n_superseded = read - total - run.n_collapsed
+        rows = spark.read.schema(needed.schema).parquet(staged)
+        silver, _ = split_by_quality(rows.filter("_is_clean"), spec.silver_columns, run_ts)
+        _, rejected = split_by_quality(
+            rows.filter("NOT _is_clean").drop("_is_clean"), spec.silver_columns, run_ts
+        )
+        write_snapshot(silver, layers.silver, fmt=fmt)
+        n_rejected = total - run.n_clean
+        append_rows(rejected, layers.quarantine, fmt=fmt, n_rows=n_rejected, run_id=run_id)
+    finally:
+        discard(spark, staged)
+    return run
 
 
 def publish(
@@ -121,14 +154,23 @@ def publish(
     spec: TableSpec,
     layers: Layers,
     fmt: str = "parquet",
-    buckets: int = 64,
+    buckets: int | None = None,
     files_per_bucket: int = 1,
+    gold_table: str | None = None,
 ) -> None:
-    """Merge silver into gold by key; the first run creates gold."""
+    """Merge silver into gold by key; the first run creates gold and needs ``buckets``."""
+    silver = read_table(spark, layers.silver, fmt=fmt)
+    if gold_table is not None:
+        left = upsert_bucketed_table(
+            spark, gold_table, layers.gold, silver, spec.keys, fmt=fmt, buckets=buckets
+        )
+        if left is not None:
+            discard(spark, left)
+        return
     upsert_table(
         spark,
         layers.gold,
-        read_table(spark, layers.silver, fmt=fmt),
+        silver,
         spec.keys,
         fmt=fmt,
         buckets=buckets,
@@ -145,23 +187,29 @@ def run_layers(
     *,
     fmt: str = "parquet",
     run_id: str | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
     files_per_bucket: int = 1,
+    gold_table: str | None = None,
 ) -> LayerRun:
     """One run of the whole flow; the first step that fails ends it.
 
     ``run_ts`` is the one time that all layers of the run carry. Every step reads its
-    input from storage, so a run can be taken up again at any step.
+    input from storage, so a run can be taken up again at any step. With ``gold_table`` gold is
+    that catalog table, bucketed by its key, in folders under the gold path: the merge then
+    exchanges silver alone, and the folder of the run before is removed after the switch.
+    The first run into a gold needs ``buckets``.
     """
-    run = LayerRun()
+    check_mergeable(fmt)
+    seconds = {}
 
     def timed(name, step, *args, **options):
         start = time.monotonic()
         result = step(*args, **options)
-        run.seconds[name] = time.monotonic() - start
+        seconds[name] = time.monotonic() - start
         return result
 
     timed("bronze", ingest, source, spec, layers, run_ts, fmt)
-    run.counts = timed("silver", clean, spark, spec, layers, run_ts, fmt, run_id)
-    timed("gold", publish, spark, spec, layers, fmt, buckets, files_per_bucket)
+    run = timed("silver", clean, spark, spec, layers, run_ts, fmt, run_id)
+    timed("gold", publish, spark, spec, layers, fmt, buckets, files_per_bucket, gold_table)
+    run.seconds = seconds
     return run

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -14,19 +15,30 @@ from layerflow.functions import any_null, key_hash
 from layerflow.operators.merge import (
     align_updates,
     duplicate_key_error,
-    merge_upsert,
+    merge_tagged,
     updated_columns,
 )
 from layerflow.sinks.writes import write_snapshot
-from layerflow.sources.tables import BUCKET_COLUMN, entry_names, table_exists
+from layerflow.sources.tables import BUCKET_COLUMN, entry_names, read_table, table_exists
 
 # Formats that are plain files, which Spark can replace by directory but not merge into.
 FILE_FORMATS = ("parquet", "orc", "avro")
+# Formats with tables that the session's catalog can MERGE into.
+MERGE_FORMATS = ("delta", "iceberg", "hudi")
+# Stores in which moving a directory copies its data, object by object.
+COPYING_STORES = re.compile(r"(s3|s3a|s3n|gs|abfss?|wasbs?|oss|cos|cosn|obs)://", re.I)
 
 # Bucket of the rows whose key has a null part: they match nothing and need no placing.
 KEYLESS = -1
 
 
+def check_mergeable(fmt: str) -> None:
+    """Refuse a format that can neither be replaced by directory nor merged into."""
+    if fmt not in FILE_FORMATS + MERGE_FORMATS:
+        known = ", ".join(FILE_FORMATS + MERGE_FORMATS)
+        raise ValueError(f"no upsert into {fmt}; there is one into {known}")
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -35,7 +47,7 @@ def upsert_table(
     update_cols: Sequence[str] | None = None,
     *,
     fmt: str = "parquet",
-    buckets: int = 64,
+    buckets: int | None = None,
     files_per_bucket: int = 1,
 ) -> None:
     """Create the table at ``path`` from ``updates``, or merge them in by key.
@@ -48,14 +60,19 @@ def upsert_table(
 
     Plain files are laid out in ``buckets`` directories by key hash. A merge reads and
     replaces only the directories that the updates fall into, in one job with one
-    exchange, after which a task writes one file. Aim at ``files_per_bucket`` times
-    ``buckets`` files of about 1 GB; ``buckets`` is fixed by the first write. Lost
+    exchange, after which a task writes one file: as many tasks as files in those directories.
+    Aim at ``files_per_bucket`` times ``buckets`` files of about 1 GB. The first write needs
+    ``buckets``, which its layout keeps; ``rebucket`` makes a table with another number. Stores
+    in which a move is a copy are refused: there, take ``upsert_bucketed_table``. Lost
     executors do no harm, but the replacing of directories at the end is not one atomic
     step, as it is with a transactional format, and frames that still read the old files fail.
     A driver lost at that point leaves directories in Spark's staging folder under ``path``;
     while there is one, be it of such a run or of a concurrent one, merges are refused.
     """
     keys = list(keys)
+    check_mergeable(fmt)
+    if fmt in FILE_FORMATS and COPYING_STORES.match(path):
+        raise ValueError(f"{path}: replacing directories copies them there; use a bucketed table")
     exists = table_exists(spark, path)
     if fmt not in FILE_FORMATS:
         if exists:
@@ -77,6 +94,8 @@ def upsert_table(
             raise ValueError(f"{path} was not written by upsert_table")
         buckets = int(BUCKET_COLUMN.fullmatch(bucket)[1])
     else:
+        if not buckets:
+            raise ValueError("a new table needs buckets: its size divided by that of a bucket")
         bucket = f"bucket_of_{buckets}"
         target = updates.limit(0).withColumn(bucket, F.lit(0))
 
@@ -90,7 +109,11 @@ def upsert_table(
 
     # upper hash bits: the lower ones are the same throughout a bucket
     part = F.pmod(F.shiftrightunsigned(key_hash(keys), 32), F.lit(files_per_bucket))
-    slot = (F.col(bucket) * files_per_bucket + part).cast("int")
+    placed_in = sorted(set(touched) - {KEYLESS})
+    # buckets that are not touched get no tasks; an update outside these slots is a stray
+    number = F.array_position(F.array(*map(F.lit, placed_in)).cast("array<int>"), F.col(bucket))
+    slot = (F.greatest(number - 1, F.lit(0)) * files_per_bucket + part).cast("int")
+    slots = max(1, len(placed_in)) * files_per_bucket
     both = target.withColumn("_is_update", F.lit(0)).unionByName(
         updates.withColumn("_is_update", F.lit(1))
     )
@@ -98,8 +121,14 @@ def upsert_table(
     if KEYLESS in touched:
         keyless = both.filter(F.col(bucket) == KEYLESS).drop("_is_update")
         both = both.filter(F.col(bucket) != KEYLESS)
-    both = both.withColumn("_slot", slot).repartitionById(buckets * files_per_bucket, "_slot")
-    merged = _merge_placed(both, rows.columns, keys, update_cols, bucket, touched)
+    both = both.withColumn("_slot", slot).repartitionById(slots, "_slot")
+    # a directory that is replaced but was not read would lose its rows
+    is_stray = (F.col("_is_update") == 1) & ~F.col(bucket).isin(touched)
+    changed = F.raise_error(F.lit("the updates changed between two reads"))
+    # bucket first, so that the writer finds its rows in directory order
+    merged = merge_tagged(
+        both, [*rows.columns, bucket], keys, update_cols, [bucket, "_slot"], F.when(is_stray, changed)
+    )
     if keyless is not None:
         merged = merged.unionByName(keyless)
     (
@@ -111,47 +140,27 @@ def upsert_table(
     )
 
 
-def _merge_placed(
-    both: DataFrame,
-    columns: Sequence[str],
+def rebucket(
+    spark: SparkSession,
+    path: str,
+    to_path: str,
     keys: Sequence[str],
-    update_cols: Sequence[str],
-    bucket: str,
-    touched: Sequence[int],
-) -> DataFrame:
-    """One row per key of rows that already lie together: at most a stored one and an update.
+    buckets: int,
+    *,
+    fmt: str = "parquet",
+    files_per_bucket: int = 1,
+) -> None:
+    """Write the table that ``upsert_table`` keeps at ``path`` to ``to_path``, in other buckets.
 
-    In key order the stored row comes just before its update, so looking one row ahead
-    tells that it is superseded, and one row back finds the values that it passes on.
+    The old table stays as it is: point readers and the next merges to the new one, then
+    remove it. ``to_path`` must not hold a table.
     """
-    # bucket first, so that the writer finds its rows in directory order
-    pair = Window.partitionBy(bucket, "_slot", *keys).orderBy("_is_update")
-    follower = F.lead("_is_update").over(pair)
-    added = {"_follower": follower}
-    passed_on = [c for c in columns if c not in update_cols and c not in keys]
-    if passed_on:
-        added["_old"] = F.lag(F.struct(*passed_on)).over(pair)
-    paired = both.withColumns(added)
-
-    is_update, follower = F.col("_is_update") == 1, F.col("_follower")
-    # a directory that is replaced but was not read would lose its rows
-    is_stray = is_update & ~F.col(bucket).isin(touched)
-    # The error must depend on the window: one on the updates' columns alone would be
-    # pushed into the updates, and raised for rows that some filter there drops.
-    error = (
-        F.when(is_update & (follower == 1), duplicate_key_error(keys, "updates"))
-        .when(~is_update & (follower == 0), duplicate_key_error(keys, "table"))
-        .when(is_stray, F.raise_error(F.lit("the updates changed between two reads")))
+    if table_exists(spark, to_path):
+        raise ValueError(f"{to_path} holds a table already")
+    rows = read_table(spark, path, fmt=fmt)
+    upsert_table(
+        spark, to_path, rows, keys, fmt=fmt, buckets=buckets, files_per_bucket=files_per_bucket
     )
-    is_last = follower.isNull()
-
-    def column(name: str) -> Column:
-        if name in passed_on:
-            had_old = is_update & F.col("_old").isNotNull()
-            return F.when(had_old, F.col("_old")[name]).otherwise(F.col(name)).alias(name)
-        return F.col(name)
-
-    return paired.filter(error.isNull() & is_last).select(*(column(c) for c in columns), bucket)
 
 
 def upsert_bucketed_table(
@@ -163,7 +172,7 @@ def upsert_bucketed_table(
     update_cols: Sequence[str] | None = None,
     *,
     fmt: str = "parquet",
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> str | None:
     """The same upsert for a catalog table of plain files that is bucketed by its key.
 
@@ -172,9 +181,12 @@ def upsert_bucketed_table(
     folder under ``location`` and then points the table to it, in one step. The folder that
     the table leaves is returned; it may be removed once no reader is left on it.
 
-    ``buckets`` is fixed by the first write; one bucket is one task, so aim at about 1 GB each.
+    The first write needs ``buckets``, which the catalog keeps; one bucket is one task, so aim at
+    about 1 GB each. Rows with a null key lie in one bucket: where they are many, keep them out.
     """
     keys = list(keys)
+    if fmt not in FILE_FORMATS:
+        raise ValueError(f"bucketed tables are of {', '.join(FILE_FORMATS)}, not of {fmt}")
     if spark.catalog.tableExists(table):
         details = spark.sql(f"DESCRIBE EXTENDED {table}")
         facts = {r.col_name: r.data_type for r in details.collect()}
@@ -182,12 +194,11 @@ def upsert_bucketed_table(
         target, name = spark.table(table), f"{table}__next"
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # of a run that did not end
     else:
+        if not buckets:
+            raise ValueError("a new table needs buckets: its size divided by that of a bucket")
         target, name, left = updates.limit(0), table, None
 
-    updates = align_updates(target, updates, keys).select(*updates.columns)
-    keyed, keyless = updates.filter(~any_null(keys)), updates.filter(any_null(keys))
-    placed = keyed.repartition(buckets, *keys).unionByName(keyless)
-    merged = merge_upsert(target, placed, keys, update_cols, unique_target=True)
+    merged = merge_bucketed(target, updates, keys, update_cols, buckets)
     path = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
     (
         merged.write.format(fmt)
@@ -203,6 +214,43 @@ def upsert_bucketed_table(
     return left
 
 
+def merge_bucketed(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    update_cols: Sequence[str] | None,
+    buckets: int,
+) -> DataFrame:
+    """What ``upsert_bucketed_table`` writes: a full outer join, in which only the updates move.
+
+    Copies of a key among the updates are found by looking one row ahead in the join's order.
+    Rows with a null key bypass the join and its exchange.
+    """
+    update_cols = updated_columns(target, updates, keys, update_cols)
+    updates = align_updates(target, updates, keys)
+    placed = updates.filter(~any_null(keys)).repartition(buckets, *keys)
+    ahead = F.lead(F.lit(1)).over(Window.partitionBy(*keys).orderBy(*keys))
+    checked = placed.withColumn("_copy", ahead)
+    error = F.when(F.col("_copy") == 1, duplicate_key_error(keys, "updates"))
+    checked = checked.filter(error.isNull()).select(
+        *(F.col(k).alias(f"_new_{k}") for k in keys),
+        F.struct(*(c for c in target.columns if c not in keys), F.lit(1).alias("_there")).alias("_new"),
+    )
+    same = reduce(and_, (F.col(k) == F.col(f"_new_{k}") for k in keys))
+    stored = target.filter(~any_null(keys)).withColumn("_old", F.lit(1))
+    joined = stored.join(checked, same, "full")
+    is_new, was_there = F.col("_new").isNotNull(), F.col("_old").isNotNull()
+
+    def column(name: str) -> Column:
+        if name in keys:
+            return F.coalesce(F.col(name), F.col(f"_new_{name}")).alias(name)
+        taken = is_new if name in update_cols else is_new & ~was_there
+        return F.when(taken, F.col("_new")[name]).otherwise(F.col(name)).alias(name)
+
+    keyless = target.filter(any_null(keys)).unionByName(updates.filter(any_null(keys)))
+    return joined.select(*(column(c) for c in target.columns)).unionByName(keyless)
+
+
 def _merge_into(
     table: str, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None
 ) -> None:

@@ -7,9 +7,14 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Name of the directory column that upsert_table lays file tables out by.
 BUCKET_COLUMN = re.compile(r"bucket_of_(\d+)")
+# Name of the directory column that append_rows lays file tables out by.
+RUN_COLUMN = "run_id"
+# Formats that are plain files.
+PLAIN_FORMATS = ("parquet", "orc", "avro", "json", "csv")
 
 
 def read_table(
@@ -23,6 +28,12 @@ def read_table(
     if (path is None) == (table is None):
         raise ValueError("give either a path or a table name")
     df = spark.table(table) if table else spark.read.format(fmt).load(path)
+    if path and RUN_COLUMN in df.columns and df.schema[RUN_COLUMN].dataType != T.StringType():
+        # Spark takes directory names that look like numbers or dates for such: 01 and 1 would be one
+        if any(name.startswith(f"{RUN_COLUMN}=") for name in entry_names(spark, path)):
+            fields = [T.StructField(f.name, f.dataType) for f in df.schema if f.name != RUN_COLUMN]
+            schema = T.StructType([*fields, T.StructField(RUN_COLUMN, T.StringType())])
+            df = spark.read.format(fmt).schema(schema).load(path)
     return df.drop(*(c for c in df.columns if BUCKET_COLUMN.fullmatch(c)))
 
 

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 from decimal import Decimal
 
@@ -5,7 +6,16 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from layerflow import Layers, orders_spec, preview, read_table, run_layers, table_exists
+import layerflow.plans.layers as plans
+from layerflow import (
+    Layers,
+    orders_spec,
+    preview,
+    read_table,
+    run_layers,
+    table_exists,
+    write_snapshot,
+)
 from layerflow.plans.orders import SILVER_COLUMNS
 from workload.registry import QUERIES
 
@@ -146,3 +156,45 @@ def test_another_file_format(spark, tmp_path):
     assert result.n_clean == 3
     gold = read_table(spark, layers.gold, fmt="orc")
     assert [r.silver_processed_at for r in gold.collect()] == [datetime(2026, 7, 4)] * 3
+
+
+def test_every_bronze_row_is_accounted_for(spark, tmp_path):
+    data = [
+        *SEED,
+        order(1, 101, "1.00", "pending", datetime(2026, 6, 30)),  # an older version
+        order(None, 101, "1.00", "pending", datetime(2026, 6, 30)),
+        order(None, 102, "2.00", "pending", datetime(2026, 6, 30)),
+        order(None, 103, "3.00", "pending", datetime(2026, 6, 30)),
+        order(4, 101, "-1.00", "pending", datetime(2026, 6, 30)),
+    ]
+    _, result = run(spark, tmp_path, data, "2026-07-03 00:00:00")
+    assert (result.n_read, result.n_clean, result.n_rejected) == (8, 3, 2)
+    assert (result.n_superseded, result.n_collapsed) == (1, 2)
+    _, nothing = run(spark, tmp_path / "empty", [], "2026-07-03 00:00:00")
+    assert (nothing.n_read, nothing.n_clean, nothing.n_rejected, nothing.n_superseded) == (0, 0, 0, 0)
+
+
+def test_a_failing_sink_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+
+    def staged():
+        if not os.path.isdir(folder):
+            return set()
+        return {name for name in os.listdir(folder) if name.startswith("layerflow-classified")}
+
+    def fail(df, path, **options):
+        if "silver" in path:
+            raise OSError("no space")
+        return write_snapshot(df, path, **options)
+
+    before = staged()
+    monkeypatch.setattr(plans, "write_snapshot", fail)
+    with pytest.raises(OSError, match="no space"):
+        run(spark, tmp_path, SEED, "2026-07-03 00:00:00")
+    assert staged() == before
+
+
+def test_formats_without_an_upsert_are_refused_at_once(spark, tmp_path):
+    with pytest.raises(ValueError, match="no upsert into json"):
+        run(spark, tmp_path / "json", SEED, "2026-07-03 00:00:00", fmt="json")
+    assert not (tmp_path / "json").exists()

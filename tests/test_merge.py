@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -6,7 +7,8 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from layerflow import merge_upsert, read_table, upsert_bucketed_table, upsert_table
+from layerflow import merge_upsert, read_table, rebucket, upsert_bucketed_table, upsert_table
+from layerflow.sinks.upsert import merge_bucketed
 
 QUICK = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -83,8 +85,60 @@ def test_wider_key_type_of_updates(spark):
 
 def test_every_target_row_of_a_key_is_updated(spark):
     target = [(1, i, "x") for i in range(5)] + [(2, 0, "y")]
-    got = merge_upsert(frame(spark, target), frame(spark, [(1, 9, "n")]), ["k"])
+    updates = frame(spark, [(1, 9, "n")])
+    got = merge_upsert(frame(spark, target), updates, ["k"], unique_target=False)
     assert rows(got) == [(1, 9, "n")] * 5 + [(2, 0, "y")]
+    with pytest.raises(PySparkException, match=r"table: more than one row with key \(1\)"):
+        merge_upsert(frame(spark, target), updates, ["k"]).collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_key_keeps_its_value(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        target = frame(spark, TARGET)
+        for value, kind in ((4294967298, "bigint"), (2.5, "double"), ("2x", "string")):
+            updates = frame(spark, [(value, 1, "n")], f"k {kind}, a int, b string")
+            with pytest.raises(PySparkException, match="k: not a int"):
+                merge_upsert(target, updates, ["k"]).collect()
+        updates = frame(spark, [("2", 1, "n"), (None, 5, "m")], "k string, a int, b string")
+        assert (2, 1, "n") in rows(merge_upsert(target, updates, ["k"]))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def stored_pair(spark, path):
+    data = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("x").alias("w"))
+    data.write.parquet(f"{path}/t")
+    data.filter("k % 3 = 0").write.parquet(f"{path}/u")
+    return [spark.read.parquet(f"{path}/{x}") for x in "tu"]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def count_in(plan, word):
+    final = plan.split("== Initial Plan ==")[0]
+    return len(re.findall(word, final))
+
+
+def test_one_pass(spark, tmp_path, no_broadcast):
+    """The final plan has one exchange of both sides, one sort, no join, two scans a side."""
+    target, updates = stored_pair(spark, tmp_path)
+    for cols in (None, ["v"]):
+        plan = _final_plan(merge_upsert(target, updates, ["k"], cols))
+        assert count_in(plan, r"Exchange hashpartitioning") == 1
+        assert count_in(plan, r"FileScan parquet") == 4
+        assert count_in(plan, r"\bSort \[") == 1 and "Join" not in plan
 
 
 @pytest.mark.parametrize("unique_target", [False, True])
@@ -151,7 +205,7 @@ def test_a_hot_target_key_is_split(spark, tmp_path):
     try:
         for name, value in small.items():
             spark.conf.set(name, value)
-        got = merge_upsert(target, updates, ["k"])
+        got = merge_upsert(target, updates, ["k"], unique_target=False)
         counts = {(r.hot, r.b): r.n for r in _count_by_outcome(got)}
         plan = _final_plan(got)
     finally:
@@ -174,7 +228,7 @@ def _final_plan(df):
 def test_large_updates_are_not_broadcast(spark):
     target = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("a"))
     updates = spark.range(10**9).select(F.col("id").alias("k"), F.lit(2).alias("a"))
-    for options in ({}, {"unique_target": True}):
+    for options in ({"unique_target": False}, {"unique_updates": True}):
         got = merge_upsert(target.unionAll(updates), updates, ["k"], **options)
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
@@ -202,9 +256,10 @@ def unique(data):
 )
 def test_merge_against_brute_force(spark, target, updates, cols, parts):
     t, u = frame(spark, target).repartition(parts), frame(spark, updates).repartition(parts)
-    assert rows(merge_upsert(t, u, ["k"], list(cols))) == brute_merge(target, updates, cols)
+    got = merge_upsert(t, u, ["k"], list(cols), unique_target=False)
+    assert rows(got) == brute_merge(target, updates, cols)
     keyed = unique(target)
-    got = merge_upsert(frame(spark, keyed), u, ["k"], list(cols), unique_target=True)
+    got = merge_upsert(frame(spark, keyed), u, ["k"], list(cols))
     assert rows(got) == brute_merge(keyed, updates, cols)
 
 
@@ -329,20 +384,61 @@ def test_bucketed_table(spark, tmp_path):
     assert (1, 12, "x") in rows(read_table(spark, table="bucketed"))
 
 
-def test_bucketed_table_is_joined_without_an_exchange(spark, tmp_path):
+def test_only_the_updates_of_a_bucketed_table_move(spark, tmp_path, no_broadcast):
+    """The frame that the operator writes: one exchange, of the updates; the table's none."""
     data = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    upsert_bucketed_table(spark, "colocated", str(tmp_path), data, ["k"], buckets=4)
-    threshold = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(threshold)
-    spark.conf.set(threshold, "-1")
+    upsert_bucketed_table(spark, "colocated", str(tmp_path / "gold"), data, ["k"], buckets=4)
+    data.filter("k % 2 = 0").write.parquet(f"{tmp_path}/u")
+    updates = spark.read.parquet(f"{tmp_path}/u")
+    plan = _final_plan(merge_bucketed(spark.table("colocated"), updates, ["k"], None, 4))
+    assert count_in(plan, "Exchange hashpartitioning") == 1
+    assert "FullOuter" in plan and "SelectedBucketsCount: 4 out of 4" in plan
+
+
+def test_new_tables_need_buckets_and_a_known_format(spark, tmp_path):
+    data = frame(spark, TARGET)
+    with pytest.raises(ValueError, match="buckets"):
+        upsert_table(spark, f"{tmp_path}/a", data, ["k"])
+    with pytest.raises(ValueError, match="buckets"):
+        upsert_bucketed_table(spark, "no_buckets", f"{tmp_path}/b", data, ["k"])
+    for fmt in ("json", "csv", "text", "no_such"):
+        with pytest.raises(ValueError, match="upsert into"):
+            upsert_table(spark, f"{tmp_path}/c", data, ["k"], fmt=fmt, buckets=2)
+    with pytest.raises(ValueError, match="copies"):
+        upsert_table(spark, "s3a://bucket/gold", data, ["k"], buckets=2)
+    assert not os.listdir(tmp_path)
+
+
+def test_rebucket(spark, tmp_path):
+    old, new = f"{tmp_path}/old", f"{tmp_path}/new"
+    upsert_table(spark, old, frame(spark, TARGET), ["k"], buckets=2)
+    rebucket(spark, old, new, ["k"], 9)
+    assert rows(read_table(spark, new)) == rows(read_table(spark, old))
+    upsert_table(spark, new, frame(spark, UPDATES), ["k"])
+    assert rows(read_table(spark, new)) == brute_merge(TARGET, UPDATES)
+    with pytest.raises(ValueError):
+        rebucket(spark, old, new, ["k"], 3)
+
+
+def test_tasks_follow_the_touched_buckets(spark, tmp_path):
+    """A merge of one row into 16 by 16 files writes one directory by 16 tasks, not 256."""
+    path = f"{tmp_path}/gold"
+    data = spark.range(4000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    upsert_table(spark, path, data, ["k"], buckets=16, files_per_bucket=2)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one row", "one row")
     try:
-        target, updates = spark.table("colocated"), data.repartition(4, "k")
-        got = merge_upsert(target, updates, ["k"], unique_target=True, unique_updates=True)
-        plan = got._jdf.queryExecution().executedPlan().toString()
+        upsert_table(
+            spark, path, frame(spark, [(5, 2)], "k bigint, v int"), ["k"], files_per_bucket=16
+        )
+        stages = [
+            tracker.getStageInfo(stage)
+            for job in tracker.getJobIdsForGroup("one row")
+            for stage in tracker.getJobInfo(job).stageIds
+        ]
     finally:
-        spark.conf.set(threshold, before)
-    stored = plan.split("LeftAnti")[1].split("Exchange")[0]
-    assert "Bucketed: true" in stored and "SelectedBucketsCount: 4 out of 4" in stored
+        spark.sparkContext._jsc.clearJobGroup()
+    assert 0 < max(stage.numTasks for stage in stages if stage) <= 16
 
 
 def test_foreign_table_is_refused(spark, tmp_path):

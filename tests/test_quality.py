@@ -125,3 +125,20 @@ def test_preview(spark):
     top = preview(df, 3, ["x"], ["id"])
     assert [r.id for r in top.collect()] == [99, 98, 97]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("reason", ["clean", "", None, 3])
+def test_reasons_that_cannot_be_counted_are_refused(reason):
+    with pytest.raises(ValueError, match="not a reason"):
+        Rule(reason, F.col("a") > 0)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(reasons=st.lists(st.text(min_size=1, max_size=8).filter(lambda r: r != "clean"), min_size=1, max_size=3))
+def test_counts_add_up_whatever_the_reasons(spark, reasons):
+    rules = [Rule(reason, F.col("id") % (i + 2) != 0) for i, reason in enumerate(reasons)]
+    classified = classify(spark.range(30), rules)
+    counters = list(quality_counters(rules).values())
+    counts = classified.agg(*(c.alias(f"n{i}") for i, c in enumerate(counters))).first()
+    assert sum(counts) == 30 and counts[0] == classified.filter("quarantine_reason IS NULL").count()
+    assert sum(r.n_rows for r in quality_report(classified).collect()) == 30

@@ -51,8 +51,7 @@ def test_columns_without_an_order_are_carried(spark):
         [(1, {"a": 1}, 1), (1, {"b": 2}, 2)], "k int, m map<string,int>, at int"
     )
     assert rows(dedupe_latest(df, ["k"], ["at"])) == [(1, {"b": 2}, 2)]
-    with pytest.raises(ValueError):
-        dedupe_latest(df.select("k", "m"), ["k"])
+    assert rows(dedupe_latest(df.select("k", "m"), ["k"])) == [(1, {"b": 2})]
 
 
 def test_column_order_and_types_are_kept(spark):
@@ -147,3 +146,36 @@ def test_run_time_is_one_literal(spark):
     assert aware.select("ingested_at", "source_system").distinct().count() == 1
     same = df.select(timestamp_literal(datetime(2024, 1, 1, 12, 30)).alias("t")).first().t
     assert same == datetime(2024, 1, 1, 12, 30)
+
+
+def test_maps_decide_ties_by_their_content(spark):
+    """The winner is the same whatever the partitions, though maps have no order."""
+    ids = spark.range(40)
+    tied = ids.select(
+        F.lit(1).alias("k"),
+        F.lit(5).alias("t"),
+        F.create_map(F.lit("a"), F.col("id")).alias("m"),
+    )
+    for how in ("aggregate", "window"):
+        winners = {
+            str(dedupe_latest(tied.repartition(n), ["k"], ["t"], how=how).first())
+            for n in (1, 2, 3, 5, 9)
+        }
+        assert len(winners) == 1
+
+
+@pytest.mark.parametrize("null_keys", ["collapse", "keep"])
+def test_window_form_and_number_of_versions(spark, null_keys):
+    data = [(k, i % 4, f"{i % 3}") for i, k in enumerate([1, 2, None, 1, 1, None, 2, 3, None])]
+    df = spark.createDataFrame(data, "k int, t int, v string")
+    got = {
+        how: sorted(map(str, dedupe_latest(df, ["k"], ["t"], null_keys, how=how).collect()))
+        for how in ("aggregate", "window")
+    }
+    assert got["aggregate"] == got["window"]
+    for how in ("aggregate", "window"):
+        counted = dedupe_latest(df, ["k"], ["t"], null_keys, how=how, n_versions="n")
+        assert sorted(map(str, counted.drop("n").collect())) == got["window"]
+        assert counted.agg(F.sum("n")).first()[0] == len(data)
+    with pytest.raises(ValueError):
+        dedupe_latest(df, ["k"], how="other")

@@ -187,3 +187,30 @@ def test_jdbc_needs_no_database_to_fail_clearly(spark):
     assert jdbc.JdbcTarget("jdbc:none:x", "u", "p", "no.such.Driver").options()["url"] == "jdbc:none:x"
     with pytest.raises(Exception, match="no.such.Driver"):
         read_jdbc(spark, JdbcTarget("jdbc:none:x", "u", "p", "no.such.Driver"), "orders")
+
+
+def test_run_ids_are_text_of_any_look(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    ids = ["a/b", "a", "01", "1", "2024-01-01", "12:30:00", "x=y %41", "null"]
+    for n, run_id in enumerate(ids, 1):
+        append_rows(spark.range(n), path, run_id=run_id)
+        append_rows(spark.range(n), path, run_id=run_id)  # done again
+    stored = read_table(spark, path)
+    assert dict(stored.dtypes)["run_id"] == "string"
+    counts = {r.run_id: r["count"] for r in stored.groupBy("run_id").count().collect()}
+    assert counts == {run_id: n for n, run_id in enumerate(ids, 1)}
+    append_rows(spark.range(0), path, run_id="a/b")
+    append_rows(spark.range(0), path, run_id="1")
+    left = {r.run_id for r in read_table(spark, path).select("run_id").distinct().collect()}
+    assert left == set(ids) - {"a/b", "1"}
+    numbers = str(tmp_path / "numbers")
+    for run_id in ("01", "1"):
+        append_rows(spark.range(2), numbers, run_id=run_id)
+    assert {r.run_id for r in read_table(spark, numbers).collect()} == {"01", "1"}
+    for run_id in ("", 5):
+        with pytest.raises(ValueError):
+            append_rows(spark.range(1), path, run_id=run_id)
+    with pytest.raises(ValueError, match="not for delta"):
+        append_rows(spark.range(1), path, run_id="a", fmt="delta")
+    with pytest.raises(ValueError, match="already"):
+        append_rows(spark.range(1).withColumnRenamed("id", "run_id"), path, run_id="a")

@@ -154,10 +154,13 @@ ORACLE = {
     "bronze_snapshot": BRONZE,
     "managed_table_snapshot": BRONZE,
     "bronze_preview": f"""
-SELECT source_system, count(*) AS n_rows
+SELECT source_system, count(*) AS n_rows, count(*) AS n_in_bronze
 FROM ({BRONZE} LIMIT 5) some_rows GROUP BY source_system""",
     "dedupe_latest_orders": f"""
 WITH {RAW}, {latest("raw", "newest")}
+SELECT {RAW_COLUMNS} FROM newest""",
+    "dedupe_latest_window": f"""
+WITH {RAW}, {latest("raw", "newest")}
 SELECT {RAW_COLUMNS} FROM newest""",
     "dedupe_keep_null_keys": f"""
 WITH {RAW}, {latest("raw", "newest")}
@@ -220,10 +223,11 @@ SELECT count(*) FILTER (WHERE quarantine_reason IS NULL) AS n_clean,
 FROM outcome""",
     "quarantine_append_rerun": f"""
 WITH {CLEANED}, once AS ({rejected(audit=False)})
-SELECT * FROM once UNION ALL SELECT * FROM once""",
+SELECT *, false AS empty_append_wrote FROM (SELECT * FROM once UNION ALL SELECT * FROM once) twice""",
     "quarantine_append_same_run": f"""
 WITH {CLEANED}, once AS ({rejected(audit=False)})
-SELECT *, 'first' AS run_id FROM once UNION ALL SELECT *, 'second' AS run_id FROM once""",
+SELECT once.*, run_id
+FROM once, (VALUES ('01'), ('1'), ('a'), ('a/b'), ('2024-01-01'), ('12:30:00')) runs(run_id)""",
     "events_quality_split": f"""
 {EVENTS}
 SELECT event_id, ts, user_id, event_type, value, quarantine_reason,
@@ -289,6 +293,7 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = u.l_orderkey)"""
     "gold_merge_idempotent": MERGED,
     "gold_table_upsert": MERGED,
     "gold_bucketed_table_upsert": MERGED,
+    "gold_rebucket": MERGED,
     "gold_preview_topk": f"{GOLD_FIRST} ORDER BY order_timestamp, order_id LIMIT 10",
     "layers_end_to_end": GOLD_FIRST,
     "layers_second_run": f"""
@@ -297,6 +302,25 @@ SELECT * FROM second_silver
 UNION ALL
 SELECT * FROM first_gold f
 WHERE NOT EXISTS (SELECT 1 FROM second_silver s WHERE s.order_id = f.order_id)""",
+    "layers_second_run_bucketed": f"""
+WITH {TWO_RUNS}, first_gold AS ({silver()}), second_silver AS ({silver("outcome2")})
+SELECT * FROM second_silver
+UNION ALL
+SELECT * FROM first_gold f
+WHERE NOT EXISTS (SELECT 1 FROM second_silver s WHERE s.order_id = f.order_id)""",
+    "layers_row_balance": f"""
+WITH {CLEANED}, totals AS (
+  SELECT (SELECT count(*) FROM bronze) AS n_read,
+         (SELECT count(*) FROM bronze WHERE order_id IS NULL) AS n_no_key,
+         count(*) AS n_kept,
+         count(*) FILTER (order_id IS NULL) AS n_kept_no_key,
+         count(*) FILTER (quarantine_reason IS NULL) AS n_clean
+  FROM outcome
+)
+SELECT n_read, n_clean, n_kept - n_clean AS n_rejected,
+       (n_read - n_no_key) - (n_kept - n_kept_no_key) AS n_superseded,
+       n_no_key - n_kept_no_key AS n_collapsed
+FROM totals""",
     "layers_second_run_quarantine": f"""
 WITH {TWO_RUNS}
 {rejected(audit=True)}

@@ -23,6 +23,7 @@ from layerflow import (
     quality_counters,
     quality_report,
     read_table,
+    rebucket,
     run_layers,
     shared_folder,
     split_by_quality,
@@ -82,9 +83,16 @@ def bronze_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Any five rows, so only their number and source are certain."""
-    rows = preview(bronze_orders(spark, sf_dir), 5, columns=["source_system"])
-    return rows.groupBy("source_system").agg(F.count("*").alias("n_rows"))
+    """Any five rows: certain are their number, their source, and that bronze holds them."""
+    bronze = bronze_orders(spark, sf_dir)
+    columns = ["customer_id", "amount", "created_at", "updated_at", "source_system"]
+    rows = preview(bronze, 5, columns=columns)
+    held = bronze.select(*columns).distinct().withColumn("held", F.lit(1))
+    same = [rows[c].eqNullSafe(held[c]) for c in columns]
+    found = rows.join(held, same, "left")
+    return found.groupBy(rows["source_system"]).agg(
+        F.count("*").alias("n_rows"), F.count("held").alias("n_in_bronze")
+    )
 
 
 @query
@@ -106,6 +114,12 @@ def dedupe_latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_latest(raw_orders(spark, sf_dir), KEY, LATEST_BY)
 
 
+@query
+def dedupe_latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same winners by ranking, the form for keys that hardly repeat."""
+    return dedupe_latest(raw_orders(spark, sf_dir), KEY, LATEST_BY, how="window")
+
+
 @query
 def dedupe_keep_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_latest(raw_orders(spark, sf_dir), KEY, LATEST_BY, null_keys="keep")
@@ -178,16 +192,17 @@ def quarantine_append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "layerflow-quarantine")
     append_rows(rejected, path)
     append_rows(rejected, path)
-    append_rows(read_table(spark, path).filter("quarantine_reason = 'no such reason'"), path)
-    return read_table(spark, path)
+    nothing = read_table(spark, path).filter("quarantine_reason = 'no such reason'")
+    wrote = append_rows(nothing, path)
+    return read_table(spark, path).withColumn("empty_append_wrote", F.lit(wrote))
 
 
 @query
 def quarantine_append_same_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run that is done again replaces its own rows and no others."""
+    """A run that is done again replaces its own rows and no others, whatever its id looks like."""
     rejected = stored(quarantine_orders(spark, sf_dir))
     path = shared_folder(spark, "layerflow-quarantine")
-    for run_id in ("first", "second", "second"):
+    for run_id in ("01", "1", "a", "a/b", "2024-01-01", "12:30:00", "a/b", "01"):
         append_rows(rejected, path, run_id=run_id)
     return read_table(spark, path)
 
@@ -270,8 +285,9 @@ def gold_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_merge_unique_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The caller knows that neither side repeats a key."""
     return merge_upsert(
-        upsert_target(spark, sf_dir), upsert_updates(spark, sf_dir), KEY, unique_target=True
+        upsert_target(spark, sf_dir), upsert_updates(spark, sf_dir), KEY, unique_updates=True
     )
 
 
@@ -309,14 +325,14 @@ def gold_merge_many_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderdate").alias("l_shipdate"),
         )
     )
-    return merge_upsert(lines, updates, ["l_orderkey"])
+    return merge_upsert(lines, updates, ["l_orderkey"], unique_target=False)
 
 
 @query
 def gold_merge_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = upsert_updates(spark, sf_dir)
-    once = merge_upsert(upsert_target(spark, sf_dir), updates, KEY, unique_target=True)
-    return merge_upsert(once, updates, KEY, unique_target=True)
+    once = merge_upsert(upsert_target(spark, sf_dir), updates, KEY)
+    return merge_upsert(once, updates, KEY)
 
 
 @query
@@ -339,7 +355,17 @@ def gold_bucketed_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_preview_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview(silver_orders(spark, sf_dir), 10, ["order_timestamp", "order_id"])
+    return preview(gold_bootstrap(spark, sf_dir), 10, ["order_timestamp", "order_id"])
+
+
+@query
+def gold_rebucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that outgrew its buckets, laid out anew, takes further merges."""
+    old, new = (shared_folder(spark, "layerflow-gold") for _ in range(2))
+    upsert_table(spark, old, upsert_target(spark, sf_dir), KEY, buckets=2)
+    rebucket(spark, old, new, KEY, 12)
+    upsert_table(spark, new, upsert_updates(spark, sf_dir), KEY)
+    return read_table(spark, new)
 
 
 # --- the whole flow -------------------------------------------------------------------
@@ -361,6 +387,28 @@ def layers_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layers.gold)
 
 
+@query
+def layers_second_run_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same gold as a catalog table, whose stored rows are not exchanged."""
+    layers = Layers(shared_folder(spark, "layerflow-layers"))
+    gold = f"gold_{uuid.uuid4().hex}"
+    run_layers(
+        spark, raw_orders(spark, sf_dir), spec(), layers, RUN_TS, buckets=8, gold_table=gold
+    )
+    run_layers(spark, later_orders(spark, sf_dir), spec(), layers, SECOND_RUN_TS, gold_table=gold)
+    return read_table(spark, table=gold)
+
+
+@query
+def layers_row_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each bronze row of a run went."""
+    layers = Layers(shared_folder(spark, "layerflow-layers"))
+    run = run_layers(spark, raw_orders(spark, sf_dir), spec(), layers, RUN_TS, buckets=8)
+    rows = [(run.n_read, run.n_clean, run.n_rejected, run.n_superseded, run.n_collapsed)]
+    names = ["n_read", "n_clean", "n_rejected", "n_superseded", "n_collapsed"]
+    return spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names))
+
+
 @query
 def layers_second_run_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine grows run by run."""
@@ -386,7 +434,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec().conform,
         "2000-12-31 00:00:00",
     ).select(*spec().silver_columns)
-    gold = merge_upsert(older, silver, KEY, unique_target=True, unique_updates=True)
+    gold = merge_upsert(older, silver, KEY, unique_updates=True)
     return preview(gold, 10, ["order_timestamp", "order_id"])
 
 
