@@ -50,6 +50,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, model, keep=["doc_id"])
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline``, which builds on this subpackage, one after another."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
 
