@@ -19,13 +19,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, bound: int, usable: Column | None = None
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    bound: int,
+    usable: Column | None = None,
+    max_chars: int = 40_000_000,
 ) -> DataFrame:
     """``doc_id, text, label`` of at most ``bound`` labelled documents, picked by a hash of the id.
 
     Labels other than 0 and 1 and null ids are left out; a repeated id takes its largest label
     and its first text in string order, so that no id gives more than one row. ``usable`` is a
-    condition on ``doc_id``.
+    condition on ``doc_id``. Where the texts have more than ``max_chars`` letters together, the
+    longest rows (over a twentieth of that) are left out and then the last ones by hash.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
@@ -38,12 +44,17 @@ def labelled_sample(
     picked = known.where(F.pmod(rank, F.lit(_PARTS)) < width).orderBy(rank, "doc_id").limit(bound)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     joined = texts.join(F.broadcast(picked), "doc_id")
-    return joined.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-
-
-def logit(p):
-    p = np.clip(p, 1e-9, 1 - 1e-9)
-    return np.log(p / (1 - p))
+    rows = stored(joined.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "labelled")
+    # ids and lengths of at most ``bound`` rows
+    sizes = rows.select("doc_id", F.length("text").alias("n")).orderBy(rank, "doc_id").collect()
+    if sum(r.n for r in sizes) <= max_chars:
+        return rows
+    total, ids = 0, []
+    for r in sizes:
+        if r.n <= max_chars // 20 and total + r.n <= max_chars:
+            total += r.n
+            ids.append(r.doc_id)
+    return rows.where(F.col("doc_id").isin(ids))
 
 
 def sigmoid(z):
