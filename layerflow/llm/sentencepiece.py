@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 # is bounded whatever the corpus; longer and rarer words are encoded in the batch.
 DICTIONARY_WORDS = 1 << 18
 LONGEST_WORD = 24
+SCANNED = 100  # letters of a word up to which the best merge is looked for among all pairs
 # Characters whose words are counted before the counts go to the shuffle; bounds a task's memory.
 COUNTED_CHARS = 1 << 23
 
@@ -41,6 +43,11 @@ class Pieces:
     unknown: int
     rough: tuple[str, ...] = field(default=())  # pairs of letters that a piece joins across a cut
 
+    @cached_property
+    def ranks(self) -> dict[str, float]:
+        """Of pieces that a merge can make: the lower, the sooner."""
+        return {piece: -self.score[n] for piece, n in self.usable.items() if len(piece) > 1}
+
     @property
     def byte_pairs(self) -> tuple[tuple[int, int], ...]:
         return tuple(sorted(self.byte_ids.items()))
@@ -277,6 +284,28 @@ def encode_word(word: str, pieces: Pieces) -> list[int]:
 
 
 def _merge_borders(word: str, pieces: Pieces) -> list[int]:
+    if len(word) > SCANNED:
+        return _merge_long(word, pieces)
+    rank = pieces.ranks.get
+    borders = list(range(len(word) + 1))
+    never = float("inf")
+    # rank of the merge of each symbol with the next
+    pairs = [rank(word[i : i + 2], never) for i in range(len(word) - 1)]
+    while pairs:
+        best = min(pairs)
+        if best == never:
+            break
+        i = pairs.index(best)
+        del borders[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank(word[borders[i] : borders[i + 2]], never)
+        if i:
+            pairs[i - 1] = rank(word[borders[i - 1] : borders[i + 1]], never)
+    return borders
+
+
+def _merge_long(word: str, pieces: Pieces) -> list[int]:
+    """The same with a heap, for words in which looking through all pairs would take long."""
     n, usable, score = len(word), pieces.usable, pieces.score
     follows, before = list(range(1, n + 2)), list(range(-1, n + 1))
     heap: list[tuple[float, int, int, int]] = []
@@ -343,12 +372,20 @@ def _count_words(texts: Sequence[str], rough: Sequence[str]) -> Counter[str]:
         else:
             counts.update(words_of(text, rough))
     for part, n in parts.items():  # each distinct part is cut once
-        for word in _FINE.findall(SPACE + part):
-            if word:
-                counts[word] += n
+        for word in _cut(part):
+            counts[word] += n
     return counts
 
 
+def _cut(part: str) -> Sequence[str]:
+    """The words of a part between two spaces; letters, or letters and one mark, need no pattern."""
+    if part.isalpha():
+        return (SPACE + part,)
+    if part[:-1].isalpha() and _is_mark(part[-1]):
+        return SPACE + part[:-1], part[-1]
+    return [word for word in _FINE.findall(SPACE + part) if word]
+
+
 def word_counts(docs: DataFrame, pieces: Pieces, text_col: str = "text") -> DataFrame:
     """``word, n`` over all texts; counted per batch before anything is shuffled."""
     rough = pieces.rough
@@ -466,7 +503,7 @@ def encode_texts(
     def word_ids(word: str) -> bytes:
         found = known.get(word)
         if found is None:
-            found = np.array(encode_word(word, pieces), "<i4").tobytes()
+            found = array("i", encode_word(word, pieces)).tobytes()
         return found
 
     chunks: list[bytes] = []
@@ -480,8 +517,7 @@ def encode_texts(
             for part in text.split(" "):
                 ids = _parts.get(part)
                 if ids is None:
-                    words = _FINE.findall(SPACE + part)
-                    ids = _parts[part] = b"".join([word_ids(w) for w in words if w])
+                    ids = _parts[part] = b"".join([word_ids(w) for w in _cut(part)])
                 found.append(ids)
         else:
             found = [word_ids(w) for w in words_of(text, rough)]

@@ -130,3 +130,15 @@ def test_scores_of_a_merging_model_do_not_add_up():
     added = dataclasses.replace(PIECES, merges=False)
     assert sp.encode_word("▁international", PIECES) == LIBRARY.encode("international")
     assert sp.encode_word("▁international", added) != LIBRARY.encode("international")
+
+
+def test_long_words_take_the_heap(monkeypatch):
+    random.seed(7)
+    for n in (2, 50, 300):
+        word = "▁" + "".join(random.choices("theinorsa0é", k=n))
+        quick = sp.encode_word(word, PIECES)
+        monkeypatch.setattr(sp, "SCANNED", 0)
+        assert sp.encode_word(word, PIECES) == quick
+        monkeypatch.setattr(sp, "SCANNED", 10**6)
+        assert sp.encode_word(word, PIECES) == quick
+        monkeypatch.undo()
