@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerflow.llm.text import add_from_text, let, slices
+from layerflow.llm.text import add_from_text, let, text_slices
 from layerflow.llm.training import stored
 
 SPACE = "▁"  # stands for a space inside pieces
@@ -28,7 +28,7 @@ DICTIONARY_WORDS = 1 << 18
 LONGEST_WORD = 24
 SCANNED = 100  # letters of a word up to which the best merge is looked for among all pairs
 # Characters whose words are counted before the counts go to the shuffle; bounds a task's memory.
-COUNTED_CHARS = 1 << 23
+COUNTED_CHARS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -392,9 +392,8 @@ def word_counts(docs: DataFrame, pieces: Pieces, text_col: str = "text") -> Data
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text or "" for text in batch.column(0).to_pylist()]
-            for start, end in slices(texts, COUNTED_CHARS):
-                counts = _count_words(texts[start:end], rough)
+            for _, _, texts in text_slices(batch.column(0), COUNTED_CHARS):
+                counts = _count_words(texts, rough)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "word": pa.array(counts.keys(), pa.string()),

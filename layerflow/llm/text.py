@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,16 +19,23 @@ _RATIO = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-def slices(texts: Sequence[str], chars: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` with about ``chars`` characters each."""
+def slices(lengths: Sequence[int], chars: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of texts, given their lengths, with about ``chars`` characters each."""
     start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > chars:
+    for i, n in enumerate(lengths):
+        if size and size + n > chars:
             yield start, i
             start, size = i, 0
-        size += len(text) + 1
-    if start < len(texts):
-        yield start, len(texts)
+        size += n + 1
+    if start < len(lengths):
+        yield start, len(lengths)
+
+
+def text_slices(column: pa.Array, chars: int = SLICE_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+    """Ranges of a column of texts and their texts, null ones as empty; one range at a time."""
+    lengths = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+    for start, end in slices(lengths, chars):
+        yield start, end, [text or "" for text in column.slice(start, end - start).to_pylist()]
 
 
 class Points:
@@ -157,9 +165,8 @@ def add_from_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            for start, end in slices(texts):
-                found = compute(texts[start:end])
+            for start, end, texts in text_slices(batch.column(at)):
+                found = compute(texts)
                 columns = batch.slice(start, end - start).columns[: len(keep)]
                 columns += [pa.array(found[name], kind) for name, kind in types.items()]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *types])

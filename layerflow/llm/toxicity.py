@@ -238,7 +238,7 @@ def fit(texts: Sequence[str], labels: np.ndarray) -> ToxicityModel | None:
     if len(set(toxic)) < 2:
         return None
     parts = []
-    for a, b in slices(texts):
+    for a, b in slices([len(text) for text in texts]):
         tokens, own, bucket = tokens_of(Points(texts[a:b]))
         parts.append((tokens.last - tokens.first, own, bucket))
     n = np.concatenate([part[0] for part in parts])
