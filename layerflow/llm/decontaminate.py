@@ -14,17 +14,38 @@ from pyspark.sql import functions as F
 from layerflow.llm.text import Points, Runs, add_from_text, mixed
 from layerflow.llm.training import stored
 
-# Word positions that a mask looks at, from its first; the others may hold any word. Each
-# leaves out one residue modulo 5, 6 or 4, so that evenly spread substitutions cannot hit all.
-MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 3, 4, 6), (0, 2, 3, 4, 6, 7), (0, 1, 4, 5, 6, 9))
 SIMILARITY = 0.8
 MIN_WORDS = 13  # matching words that make an overlap, or a whole shorter item's share of them
 SHORTEST = 5  # items with fewer words are no evidence and match nothing
+WHOLE = 6  # items of just so many words match whole, as test_edge_rows has it
+# Words of a seed, by the item's length: the most of which every overlap that counts holds a seed.
+SEED_WORDS = {5: 4, 10: 4, 11: 5, 12: 5}
+LONG_SEED_WORDS = 6  # of all other items
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _FILTER_BITS = 22
 _BLOCK = "__lf_block"
 
 
+def needed_words(length: int) -> int:
+    """Matching words that make an overlap with an item of ``length`` words."""
+    return length if length == WHOLE else min(MIN_WORDS, math.ceil(SIMILARITY * length))
+
+
+def seed_masks(length: int) -> list[tuple[int, ...]]:
+    """Word positions that seeds of an item look at, from the first; another may hold any word.
+
+    A seed is some words in a row, or as many with one other word among them. An overlap without
+    a seed of 6 words has runs of 5 equal words at most, and 5 at most in two runs with one
+    word between, which is under four fifths from 13 matching words on, so no overlap with an item
+    of 16 words or more lacks one. The tests prove this, and try all substitutions in shorter items.
+    """
+    if length == WHOLE:
+        return [tuple(range(length))]
+    n = SEED_WORDS.get(length, LONG_SEED_WORDS)
+    holes = (tuple(i for i in range(n + 1) if i != hole) for hole in range(1, n))
+    return [tuple(range(n)), *holes]
+
+
 def _seeds(hashes: np.ndarray, mask: tuple[int, ...], kind: int) -> np.ndarray:
     """Seed hash at each word position from which the mask fits into the array."""
     n = max(0, len(hashes) - mask[-1])
@@ -53,16 +74,16 @@ class SeedIndex:
         words = points.alphanumeric()
         hashes = words.hashes(points.lowered())
         lengths = words.last - words.first
-        # an item too short for the longest mask is looked up whole
-        short = sorted({int(n) for n in lengths if SHORTEST <= n <= MASKS[-1][-1]})
-        masks = [*MASKS, *(tuple(range(n)) for n in short)]
-        seeds, place = [], []
+        users: dict[tuple[int, ...], list[int]] = {}  # lengths of the items that use a mask
+        for n in np.unique(lengths[lengths >= SHORTEST]).tolist():
+            for mask in seed_masks(n):
+                users.setdefault(mask, []).append(n)
+        masks = list(users)
+        seeds, place = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for kind, mask in enumerate(masks):
             found = _seeds(hashes, mask, kind)
             fits = words.doc[: len(found)] == words.doc[mask[-1] : mask[-1] + len(found)]
-            if kind >= len(MASKS):
-                fits &= lengths[words.doc[: len(found)]] == len(mask)
-            fits &= lengths[words.doc[: len(found)]] >= SHORTEST
+            fits &= np.isin(lengths[words.doc[: len(found)]], users[mask])
             seeds.append(found[fits])
             place.append(np.flatnonzero(fits))
         seed, at = np.concatenate(seeds), np.concatenate(place)
@@ -103,7 +124,7 @@ class SeedIndex:
         start = max(diagonal, int(words.first[doc]))
         end = min(diagonal + len(item), int(words.last[doc]))
         equal = hashes[start:end] == item[start - diagonal : end - diagonal]
-        need = min(MIN_WORDS, math.ceil(SIMILARITY * len(item)))
+        need = needed_words(len(item))
         at = np.flatnonzero(equal)
         if len(at) < need:
             return None
@@ -189,10 +210,10 @@ def find_benchmark(
 ) -> DataFrame:
     """``docs`` with an array of the benchmark items that each whole text overlaps.
 
-    Words are runs of letters and digits in lower case. A mask's seed hash ignores the positions
-    it leaves out, so a hit survives substitutions there; around each hit the item is laid along
-    the text and counts when at least 13 words match (four fifths of a shorter item) and the
-    stretch that holds them is at least four fifths equal. Offsets are in code points. Items of
+    Words are runs of letters and digits in lower case. The item is laid along the text and counts
+    when at least 13 words match (four fifths of a shorter item, all of one of 6 words)
+    and the stretch that holds them is at least four fifths equal; every such overlap holds a seed
+    (see ``seed_masks``), around whose hits it is sought. Offsets are in code points. Items of
     under 5 words match nothing; null and empty texts have no overlaps. ``item_id`` is read as a
     long. Every block of items is compared with all rows; between two blocks the rows are
     written to the shared folder, so a task never holds more than one.

@@ -106,3 +106,71 @@ def test_edge_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6, 8]
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
     assert decontaminate.drop_contaminated(docs.limit(0), bench).count() == 0
+
+
+def counts(same, length):
+    """Does a row of equal and other words hold an overlap, by the rule?"""
+    need = decontaminate.needed_words(length)
+    at = [i for i, equal in enumerate(same) if equal]
+    return any(
+        b - a + 1 >= need and 5 * (b - a + 1) >= 4 * (at[b] - at[a] + 1)
+        for a in range(len(at))
+        for b in range(a, len(at))
+    )
+
+
+def seeded(same, length):
+    return any(
+        all(same[at + i] for i in mask)
+        for mask in decontaminate.seed_masks(length)
+        for at in range(len(same) - mask[-1])
+    )
+
+
+def test_every_overlap_holds_a_seed():
+    """All substitutions in short items; in long ones, all rows without a seed, letter by letter."""
+    for length in range(decontaminate.SHORTEST, 16):
+        for bits in range(1 << length):
+            same = [bits >> i & 1 for i in range(length)]
+            assert seeded(same, length) or not counts(same, length), same
+    # the most that matches exceed four fifths by, over rows without a seed that begin and end
+    # with a match, by (last 7 words, matching words up to 13), scaled by 5; no row need be longer
+    # than the point from which no state's value rises any more
+    masks = [sum(1 << (mask[-1] - i) for i in mask) for mask in decontaminate.seed_masks(16)]
+    states = {(1, 1): 1}
+    best = dict(states)
+    changed = states
+    while changed:
+        following = {}
+        for (tail, matched), excess in changed.items():
+            for equal in (0, 1):
+                new = (tail << 1 | equal) & 0x7F
+                if any(new & mask == mask for mask in masks):
+                    continue
+                key = new, min(13, matched + equal)
+                value = excess + (1 if equal else -4)
+                if value > best.get(key, -100) and value > -60:
+                    best[key] = following[key] = value
+        changed = following
+    assert max(v for (tail, matched), v in best.items() if matched == 13 and tail & 1) < 0
+
+
+def test_overlaps_at_need_against_brute_force():
+    random.seed(9)
+    found_all = 0
+    for _ in range(600):
+        n = random.randint(5, 24)
+        item = [f"w{i}" for i in range(n)]
+        passage = list(item)
+        for at in random.sample(range(n), random.randint(0, n // 5)):
+            passage[at] = "other"
+        doc = [*"abcde", *passage, *"fghij"]
+        index = decontaminate.SeedIndex.build([4], [" ".join(item)])
+        found = decontaminate.search([" ".join(doc)], index)[0]
+        best = slow_overlap(doc, item)
+        if best >= decontaminate.needed_words(n):
+            assert found and found[0]["matched_words"] == best
+            found_all += 1
+        else:
+            assert not found
+    assert found_all > 300
