@@ -25,11 +25,18 @@ NAME = rf"{_TITLED}{_WORD}(?: {_WORD}){{0,2}}"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
 HEX = (
     r"(?=[0-9A-Fa-f]{32})(?<![\p{L}\p{N}])(?=[A-Fa-f]*[0-9])"
-    r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"
+    r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\p{L}\p{N}])"
 )
+_GIVEN = r"(?i:token|secret|password|api_key|apikey)\\?[\"']? {0,4}[=:]{0,2}"
+_BARE = r"[^\s\"'<>,;&=]{4,}(?<![.!?:)])"
+# What a key word is given: all that stands between quotation marks (escaped ones too), or else a
+# bare word, which needs a digit unless it stands right behind the sign of equality.
 ASSIGNED = (
-    r"(?<=[\"'])(?<=(?i:token|secret|password|api_key|apikey) ?[=:] ?[\"'])"
-    r"[^\"'\s]{6,200}(?=[\"'])"
+    rf"(?<=\")(?<={_GIVEN}[=:]>? {{0,4}}\")(?:[^\"\\\r\n]|\\[^\r\n])++(?=\")"
+    rf"|(?<=')(?<={_GIVEN}[=:]>? {{0,4}}')(?:[^'\\\r\n]|\\[^\r\n])++(?=')"
+    rf"|(?<=\\[\"'])(?<={_GIVEN}[=:]>? {{0,4}}\\[\"'])[^\"'\\\r\n]++(?=\\[\"'])"
+    rf"|(?<==)(?<={_GIVEN}=){_BARE}"
+    rf"|(?<=[=:> \"'])(?<={_GIVEN}[=:]>? {{0,4}}\\?[\"']?)(?=[^\s\"'<>,;&=0-9]*+[0-9]){_BARE}"
 )
 IBAN = (
     r"(?=[A-Z]{2}\d{2})(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
@@ -42,9 +49,9 @@ PHONE = (
     r"(?=[+(0-9])(?<![\p{N}+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
     r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\d{3}[.-]\d{3}[.-]\d{4})(?!\p{N})"
 )
-ENTITY = "|".join([NAME, EMAIL, HEX, ASSIGNED, IBAN, IP, CARD, SSN, PHONE])
-# Every entity but a name holds one of these, or stands between quotation marks.
-HINT = "[0-9@\"']"
+ENTITY = "|".join([ASSIGNED, NAME, EMAIL, HEX, IBAN, IP, CARD, SSN, PHONE])
+# Every entity but a name holds one of these, or stands between quotation marks or behind "=".
+HINT = "[0-9@\"'=]"
 NAME_HINT = rf"{_TITLED}\p{{Lu}}"
 
 # Letters that stand in for letters of the same script, by position.
@@ -95,14 +102,14 @@ def parts_of(mention: Column) -> Column:
     given = F.when(title.isin(FEMALE), "given_f").otherwise("given_m")
     return (
         F.when(
-            mention.contains("@") & ~mention.rlike(r"^[^@]*@[^.]*$"),
+            mention.rlike(f"^(?:{EMAIL})$"),
             F.array(
                 part("email", F.lower(mention), F.substring_index(mention, "@", 1)),
                 part("domain", F.lower(domain), domain),
             ),
         )
         .when(
-            mention.rlike(rf"^{TITLE}\.? \p{{Lu}}[^0-9]*$"),
+            mention.rlike(f"^(?:{NAME})$"),
             F.transform(
                 words,
                 lambda word, i: part(
@@ -116,16 +123,16 @@ def parts_of(mention: Column) -> Column:
             F.array(part("secret", F.lower(mention), mention)),
         )
         .when(
-            mention.rlike(r"^[A-Z]{2}\d{2} ?[A-Z0-9]{4}[A-Z0-9 ]*$"),
+            mention.rlike(f"^(?:{IBAN})$"),
             F.array(part("iban", F.replace(mention, F.lit(" "), F.lit("")), mention)),
         )
         .when(mention.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.array(part("ssn", digits, mention)))
         .when(
-            mention.rlike(r"^[0-9 -]+$") & (F.length(digits) >= 13),
+            mention.rlike(f"^(?:{CARD})$"),
             F.array(part("card", digits, mention)),
         )
         .when(
-            mention.rlike(r"^[+(0-9][0-9 ().-]+$"),
+            mention.rlike(f"^(?:{PHONE})$"),
             F.array(
                 part(
                     "phone",
@@ -139,7 +146,9 @@ def parts_of(mention: Column) -> Column:
 
 
 def _byte(stream: Column, i: Column) -> Column:
-    return F.conv(F.substr(stream, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
+    """The ``i``-th byte of a stream of blocks of 32."""
+    block, at = F.get(stream, F.shiftright(i, 5)), F.pmod(i, F.lit(32))
+    return F.conv(F.substr(block, 2 * at + 1, F.lit(2)), 16, 10).cast("int")
 
 
 def _pick(letters, n: Column) -> Column:
@@ -150,8 +159,7 @@ def _pick(letters, n: Column) -> Column:
 
 def _each(text: Column, fn) -> Column:
     """``fn(letter, position from 0)`` over the letters of ``text``, joined."""
-    at = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)))
-    return F.array_join(F.transform(at, lambda i: fn(F.substr(text, i + 1, F.lit(1)), i)), "")
+    return F.array_join(F.transform(F.split(text, ""), fn), "")
 
 
 def _same_class(text: Column, stream: Column) -> Column:
@@ -288,13 +296,15 @@ def _name(kind: Column, value: Column, stream: Column, attempt: Column) -> Colum
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """The replacement of a canonical value; a keyed function of it and the attempt."""
     blocks = F.sequence(F.lit(0), F.floor(F.length(value) / 32).cast("int") + 1)
-    stream = F.array_join(
-        F.transform(
-            blocks, lambda b: F.sha2(F.concat_ws(_SEP, F.lit(key), kind, value, attempt, b), 256)
-        ),
-        "",
-    )
-    return let(stream, lambda stream: _made(kind, value, attempt, stream))
+    # a long value goes into each block by its own hash, or the work would grow with its square
+    tag = F.when(F.length(value) > 256, F.sha2(value, 256)).otherwise(value)
+
+    def stream(tag):
+        return F.transform(
+            blocks, lambda b: F.sha2(F.concat_ws(_SEP, F.lit(key), kind, tag, attempt, b), 256)
+        )
+
+    return let(let(tag, stream), lambda stream: _made(kind, value, attempt, stream))
 
 
 def _made(kind: Column, value: Column, attempt: Column, stream: Column) -> Column:
@@ -359,11 +369,14 @@ def _rendered(kind: Column, raw: Column, made: Column) -> Column:
             F.regexp_like(letter, F.lit("[0-9A-Za-z]")), F.substr(plain, F.length(before), F.lit(1))
         ).otherwise(letter)
 
-    cased = _each(
-        raw,
-        lambda letter, i: F.when(
-            letter != F.lower(letter), F.upper(F.substr(made, i + 1, F.lit(1)))
-        ).otherwise(F.substr(made, i + 1, F.lit(1))),
+    cased = let(
+        F.split(made, ""),
+        lambda letters: _each(
+            raw,
+            lambda letter, i: F.when(
+                letter != F.lower(letter), F.upper(F.get(letters, i))
+            ).otherwise(F.get(letters, i)),
+        ),
     )
     # a surrogate may be longer than what it stands for
     cased = F.concat(cased, F.substr(made, F.length(raw) + 1))
@@ -416,6 +429,10 @@ def replace_entities(
     are kept: punctuation, case, script, digits per octet, country, checksum, gender. Null and
     empty texts, and texts without entities, stay as they are; repeated rows are treated alike.
     ``count_col`` adds the number of mentions.
+
+    Tokens are hexadecimal runs from 32 digits on, and what stands behind token, secret, password
+    or api key and ``=`` or ``:``: all that is between quotation marks, or a bare word of 4 letters
+    or more, with a digit unless it follows ``=`` at once. None is too long.
     """
     names = ("__lf_key", "__lf_map", "__lf_found")
     if clash := {*names, count_col} & set(docs.columns):

@@ -136,3 +136,39 @@ def test_edge_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op6_pii"](spark, f"{TESTDATA}/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|ExistingRDD", plan)
+
+
+def test_secrets_of_any_length_and_form(spark):
+    jwt = "eyJhbGciOi." + "aB3_" * 300 + ".x-Y"
+    pem = "-----BEGIN KEY-----\\n" + "MIIEow/+" * 200 + "\\n-----END KEY-----"
+    secrets = [
+        ("key ", "0af9" * 128, " end"),
+        ("key ", "0AF9" * 33 + "7", "."),
+        ("blob ", "1f" * 30_000, ""),
+        ('token = "', jwt, '" end'),
+        ("secret: '", pem, "'"),
+        ('{"password": "', "x", '", "n": 1}'),
+        ('{"api_key":"', "correct horse", '"}'),
+        ('{\\"password\\": \\"', "hunter", '\\"}'),
+        ('"password": "', 'pa\\"ss word', '"'),
+        ("password=", "hunter2", " end"),
+        ("https://x/?token=", "abcdef", "&b=c"),
+        ("password: ", "hunter2", ", end"),
+        ('password="', "hunter2", " never closed"),
+        ("PASSWORD=", "123456", ""),
+        ('password: "', "9c8b45435718dcc700c184a7e303cdc6-tail", '"'),
+    ]
+    kept = ["the password: please ask", "token count is 5", "a secret: nobody knows", "password = ''"]
+    rows = [(i, "".join(parts)) for i, parts in enumerate(secrets)]
+    rows += [(100 + i, text) for i, text in enumerate(kept)]
+    for i, text, n in replaced(spark, rows):
+        if i >= 100:
+            assert (text, n) == (kept[i - 100], 0)
+            continue
+        before, secret, after = secrets[i]
+        assert n == 1, rows[i][1][:80]
+        assert text.startswith(before) and text.endswith(after)
+        made = text[len(before) : len(text) - len(after)]
+        # digits stay digits and letters letters, so some may be the same by chance
+        same = sum(a == b for a, b in zip(made, secret, strict=True) if a.isalnum())
+        assert made != secret and same <= max(2, 0.25 * len(secret)), (made[:60], secret[:60])
