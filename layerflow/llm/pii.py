@@ -5,7 +5,8 @@ DataFrame functions only; no Python runs on the executors.
 
 from __future__ import annotations
 
-from functools import reduce
+import unicodedata
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,14 +61,37 @@ ALPHABETS = {
     r"[a-z]": "abcdefghijklmnopqrstuvwxyz",
     r"[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     r"[à-öø-ÿ]": "àáâãäåçèéêëìíîïñòóôõöùúûüý",
+    r"[À-ÖØ-Þ]": "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝ",
     r"[а-яё]": "абвгдежзийклмнопрстуфхцчшщыэюя",
+    r"[А-ЯЁ]": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЫЭЮЯ",
     r"\p{IsGreek}": "αβγδεζηθικλμνξοπρστυφχψω",
     r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
     r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
     r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめも",
     r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモ",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하고노도로모보소오조호구누두루무부수우주",
     r"\p{IsHan}": "山川田水木林森石金土日月星雲風雨雪花草竹梅松江河海湖春夏秋冬東西南北",
 }
+# Scripts by position above, or of too many signs to list
+_LISTED = "GREEK HEBREW ARABIC HIRAGANA KATAKANA HENTAIGANA CJK HANGUL TANGUT KHITAN NUSHU".split()
+_LISTED += "EGYPTIAN CUNEIFORM ANATOLIAN LINEAR BAMUM".split()
+
+
+@lru_cache(maxsize=1)
+def other_letters() -> list[str]:
+    """Letters of all other scripts, in groups of one script and case (and style, as bold)."""
+    groups: dict[tuple, list[str]] = {}
+    for letter in map(chr, range(0x80, 0x20000)):
+        kind, name = unicodedata.category(letter), unicodedata.name(letter, "").split(" ")
+        if kind in ("Lu", "Ll", "Lo") and name[0] and name[0] not in _LISTED:
+            style = name[: 2 if name[1:2] in (["SMALL"], ["LETTER"]) else 1]
+            if name[0] == "MATHEMATICAL":
+                style = (*name[:-1], len(name[-1]) == 1)
+            other = letter.swapcase()  # keeps letters without one in the other case apart
+            groups.setdefault((kind, *style, other != letter, len(other)), []).append(letter)
+    return ["".join(letters) for letters in groups.values() if len(letters) > 1]
+
+
 # (consonants, vowels, last letter of a woman's and of a man's given name)
 SYLLABLES = {
     "latin": ("b d f g k l m n p r s t v z".split(), "a e i o u".split(), "a", "nrsl"),
@@ -165,9 +189,17 @@ def _each(text: Column, fn) -> Column:
 def _same_class(text: Column, stream: Column) -> Column:
     """Each letter or digit replaced by one of its own class; anything else stays."""
 
+    groups = F.array(*map(F.lit, other_letters()))
+
+    def other(letter, byte):
+        group = F.get(F.filter(groups, lambda g: F.contains(g, letter)), F.lit(0))
+        made = let(group, lambda g: F.substr(g, F.pmod(byte, F.length(g)) + 1, F.lit(1)))
+        return F.coalesce(made, letter)
+
     def swap(letter, i):
         byte = _byte(stream, i)
         cases = [(F.regexp_like(letter, F.lit(c)), _pick(a, byte)) for c, a in ALPHABETS.items()]
+        cases.append((F.regexp_like(letter, F.lit(r"\p{L}")), other(letter, byte)))
         return reduce(lambda rest, case: F.when(*case).otherwise(rest), reversed(cases), letter)
 
     return _each(text, swap)
@@ -259,7 +291,10 @@ def _ip(value: Column, stream: Column, attempt: Column) -> Column:
 
 
 def _name(kind: Column, value: Column, stream: Column, attempt: Column) -> Column:
-    """Syllables of the same script; a given name's last letter follows the gender."""
+    """Syllables of the same script; a given name's last letter follows the gender.
+
+    Other scripts than Latin, Cyrillic and Greek: letters of the script.
+    """
 
     def made(script):
         consonants, vowels, female, male = SYLLABLES[script]
@@ -289,7 +324,7 @@ def _name(kind: Column, value: Column, stream: Column, attempt: Column) -> Colum
         F.when(value.rlike(LATIN), made("latin"))
         .when(value.rlike(SCRIPT_OF["cyrillic"]), made("cyrillic"))
         .when(value.rlike(SCRIPT_OF["greek"]), made("greek"))
-        .otherwise(_same_class(value, stream))
+        .otherwise(F.concat(_same_class(value, stream), _longer(value, stream, attempt)))
     )
 
 

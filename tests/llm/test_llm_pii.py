@@ -172,3 +172,27 @@ def test_secrets_of_any_length_and_form(spark):
         # digits stay digits and letters letters, so some may be the same by chance
         same = sum(a == b for a, b in zip(made, secret, strict=True) if a.isalnum())
         assert made != secret and same <= max(2, 0.25 * len(secret)), (made[:60], secret[:60])
+
+
+def test_names_of_other_scripts(spark):
+    """Letters of the script, its case kept; a script without a stand-in gets a longer name."""
+    cases = {
+        1: ("Արամ", "[Ա-Ֆ][ա-և]{3}"),
+        2: ("𝐉𝐨𝐡𝐧", "[𝐀-𝐙][𝐚-𝐳]{3}"),
+        3: ("ᏣᎳᎩ", "[Ꭰ-Ᏽ]{3}"),
+        4: ("ᲒᲘᲝᲠᲒᲘ", "[Ა-Ჿ]{6}"),
+        5: ("𐐀𐐩𐐪", "[𐐀-𐐧][𐐨-𐑏]{2}"),
+        6: ("Łukaszł", None),
+        7: ("Ⲁⲃⲅ", "[Ⲁ-ⳮ]{3}"),
+    }
+    rows = [(i, f"Mr {name} spoke. {name} left") for i, (name, _) in cases.items()]
+    rows.append((8, "պետրոս@փոստ.հայ and 김철수@example.com"))
+    got = {i: text for i, text, _ in replaced(spark, rows)}
+    for i, (name, pattern) in cases.items():
+        assert name not in got[i]
+        made = re.fullmatch(r"Mr (\S+) spoke\. (\S+) left", got[i])
+        assert made[1] == made[2] and re.fullmatch(pattern or r"[A-Z][a-z]+", made[1]), got[i]
+    assert not re.search("պետրոս|փոստ|[김철]", got[8])
+    crowded = [(i, f"Mr {chr(0x531 + i)}") for i in range(38)]
+    after = {text for _, text, _ in replaced(spark, crowded)}
+    assert len(after) == len(crowded) and not after & {text for _, text in crowded}
