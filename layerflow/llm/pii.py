@@ -17,11 +17,17 @@ from layerflow.llm.training import stored
 MALE = "Mr Mister Sir Herr Señor Sr Monsieur Господин г-н Κύριος".split()
 FEMALE = "Mrs Ms Miss Madam Lady Frau Señora Señorita Sra Srta Madame Mademoiselle Mme Mlle".split()
 FEMALE += "Госпожа г-жа Κυρία".split()
-TITLE = "(?:" + "|".join(sorted(MALE + FEMALE, key=len, reverse=True)) + ")"
+MALE += "Don mr".split()
+FEMALE += "Doña mrs ms".split()
+NEUTRAL = "Dr Doctor Prof Professor Rev Reverend Hon Mx Доктор Профессор dr prof rev mx".split()
+TITLES = sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)
+TITLE = r"(?:(?<!\p{N} |\p{N})(?=ms)ms|" + "|".join(t for t in TITLES if t != "ms") + ")"
+# Titles may follow one another; Don is a given name there.
+TITLES_AGAIN = rf"(?:(?!Don ){TITLE}\.? )*"
 
 # Each pattern begins with a look at one letter, which is all that most positions cost.
 _WORD = r"\p{Lu}[\p{L}'’-]*"
-_TITLED = rf"(?=[{''.join(sorted({t[0] for t in MALE + FEMALE}))}])(?<!\p{{L}}){TITLE}\.? "
+_TITLED = rf"(?=[{''.join(sorted({t[0] for t in TITLES}))}])(?<!\p{{L}}){TITLE}\.? {TITLES_AGAIN}"
 NAME = rf"{_TITLED}{_WORD}(?: {_WORD}){{0,2}}"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
 HEX = (
@@ -100,16 +106,21 @@ SYLLABLES = {
 }
 SCRIPT_OF = {"cyrillic": r"^[\p{IsCyrillic}'’-]+$", "greek": r"^[\p{IsGreek}'’-]+$"}
 LATIN = r"^[\p{IsLatin}'’-]+$"
-NAMES = ["given_f", "given_m", "surname"]
+NAMES = ["given_f", "given_m", "given", "surname"]
 _SEP = "\u0001"
 
 
+def _titles_of(mention: Column) -> Column:
+    """The titles that a name begins with, and the space after them."""
+    return F.regexp_extract(mention, rf"^{TITLE}\.? {TITLES_AGAIN}", 0)
+
+
 def parts_of(mention: Column) -> Column:
     """The entities in a mention, in order: an array of ``kind, canonical, raw``.
 
     Forms of one entity share a canonical value: case of addresses and tokens, punctuation of
     numbers, case of names. A name gives one entity per word, the last being the surname; the
-    given name carries the gender of the title. An address gives itself and its domain.
+    given name carries the gender of the title, if it has one. An address gives itself and its domain.
     """
 
     def part(kind, canonical, raw):
@@ -121,9 +132,13 @@ def parts_of(mention: Column) -> Column:
 
     digits = F.regexp_replace(mention, "[^0-9]", "")
     domain = F.substring_index(mention, "@", -1)
-    words = F.slice(F.split(mention, " "), 2, 3)
-    title = F.rtrim(F.substring_index(mention, " ", 1), F.lit("."))
-    given = F.when(title.isin(FEMALE), "given_f").otherwise("given_m")
+    titles = F.split(_titles_of(mention), r"\.? ")
+    words = F.split(F.substr(mention, F.length(_titles_of(mention)) + 1), " ")
+    given = (
+        F.when(F.arrays_overlap(titles, F.array(*map(F.lit, FEMALE))), "given_f")
+        .when(F.arrays_overlap(titles, F.array(*map(F.lit, MALE))), "given_m")
+        .otherwise("given")
+    )
     return (
         F.when(
             mention.rlike(f"^(?:{EMAIL})$"),
@@ -461,7 +476,8 @@ def replace_entities(
     a title are replaced by values that are a function of ``key`` and the entity, so one entity
     is the same everywhere, in all its forms, and different ones stay different. A name that a
     text introduces with a title is also replaced where it stands alone in that text. Formats
-    are kept: punctuation, case, script, digits per octet, country, checksum, gender. Null and
+    are kept: punctuation, case, script, digits per octet, country, checksum, gender. Titles are
+    read as listed, not in capitals throughout; a name that nothing introduces is not found. Null and
     empty texts, and texts without entities, stay as they are; repeated rows are treated alike.
     ``count_col`` adds the number of mentions.
 
@@ -515,7 +531,7 @@ def _rebuilt(text: Column, found: Column, known: Column) -> Column:
             F.when(kind == "email", F.array_join(values, "@"))
             .when(
                 kind.isin(NAMES),
-                F.concat(F.substring_index(mention, " ", 1), F.lit(" "), F.array_join(values, " ")),
+                F.concat(_titles_of(mention), F.array_join(values, " ")),
             )
             .otherwise(values[0])
         )
@@ -525,7 +541,7 @@ def _rebuilt(text: Column, found: Column, known: Column) -> Column:
     whole = F.array_join(F.zip_with(pieces, filled, lambda a, b: F.concat(a, b)), "")
     # names that the text has introduced, where they stand alone
     introduced = F.filter(
-        F.map_entries(known), lambda e: F.regexp_like(e["key"], F.lit(f"^({'|'.join(NAMES)}){_SEP}.{{3,}}"))
+        F.map_entries(known), lambda e: F.regexp_like(e["key"], F.lit(f"^({'|'.join(NAMES)}){_SEP}"))
     )
 
     def alone(so_far, entry):

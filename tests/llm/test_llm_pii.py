@@ -196,3 +196,22 @@ def test_names_of_other_scripts(spark):
     crowded = [(i, f"Mr {chr(0x531 + i)}") for i in range(38)]
     after = {text for _, text, _ in replaced(spark, crowded)}
     assert len(after) == len(crowded) and not after & {text for _, text in crowded}
+
+
+def test_short_names_and_titles_without_gender(spark):
+    short = ["Li", "Ng", "Wu", "Xu", "Ho", "Oh", "É"]
+    rows = [(i, f"Mr. Jet {name} spoke. {name} said so; Live Ngo") for i, name in enumerate(short)]
+    for i, text, n in replaced(spark, rows):
+        made = re.fullmatch(r"Mr\. (\w+) (\w+) spoke\. (\w+) said so; Live Ngo", text)
+        assert n == 1 and made[2] == made[3] and not {"Jet", short[i]} & set(made.groups())
+    titles = "Dr|Prof.|Rev|Don|Mx|dr.|mr|mrs.|ms|prof|Prof. Dr.|Frau Dr.|Herr Prof. Dr.".split("|")
+    rows = [(i, f"we saw {title} Eve Smith there. Smith left") for i, title in enumerate(titles)]
+    rows += [(50, "it took 5 ms Then 7ms Later"), (51, "Mr Don Smith"), (52, "Prof. Dr")]
+    got = {i: text for i, text, _ in replaced(spark, rows)}
+    for i, title in enumerate(titles):
+        made = re.fullmatch(rf"we saw {re.escape(title)} (\w+) (\w+) there\. (\w+) left", got[i])
+        assert made[2] == made[3] and not {"Eve", "Smith"} & set(made.groups())
+        if title in ("mrs.", "ms", "Frau Dr."):
+            assert made[1].endswith("a")
+    assert got[50] == rows[-3][1]
+    assert re.fullmatch(r"Mr (?!Don)\w+ (?!Smith)\w+", got[51])
