@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.llm import (
@@ -11,12 +11,15 @@ from layerflow.llm import (
     licenses,
     pii,
     quality,
+    runs,
+    search,
     sentencepiece,
     sharding,
     simhash,
     toxicity,
     urls,
 )
+from layerflow.llm.text import let
 
 # Surrogates are a function of it: a run that must not be linked to others takes a key of its own.
 PII_KEY = "layerflow surrogates"
@@ -127,6 +130,58 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("mask", F.array_join(spans, ","))
 
 
+def planted_text(doc_id: Column, text: Column) -> Column:
+    """One text in ten with its words from some place on repeated at a period, by the id's crc32."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        place = lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p))
+        taken = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i).cast("int")))
+        return F.when(n > 0, F.array_join(taken, " ")).otherwise(text)
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.when(F.pmod(h, F.lit(10)) == 0, let(words, repeated)).otherwise(text)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", planted_text(F.col("doc_id"), F.col("text")))
+    rows = runs.find_runs(docs, min_length=6, min_exponent=4, keep=["doc_id"])
+    # runs come by start, then period, so of equal ones the first stays
+    greater = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]
+    best = F.aggregate(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda best, r: F.when(greater(r, best), r).otherwise(best),
+    )
+    listed = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    return (
+        rows.withColumn("best", best)
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            "best.*",
+            F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+            F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+            F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        )
+    )
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.build_index(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return search.search(index, load(spark, sf_dir, "benchmark"), k=20)
+
+
 ORACLE["op10_chat_formatting"] = r"""
 WITH turns AS (
     SELECT conv_id, coalesce(role, '') AS speaker, coalesce(text, '') AS said,
@@ -158,3 +213,129 @@ SELECT conv_id, CASE WHEN me = '' THEN 'unknown' ELSE me END AS perspective, par
 FROM placed
 GROUP BY conv_id, me, part
 """
+
+ORACLE["op12_periodic_runs"] = r"""
+WITH named AS (
+    SELECT doc_id, CAST(doc_id AS VARCHAR) AS digits,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), hashed AS (
+    SELECT doc_id, words, xor(4294967295, list_reduce(range(8 * length(digits)), lambda crc, i:
+               xor(xor(crc, CASE WHEN i % 8 = 0 THEN ascii(substr(digits, i // 8 + 1, 1)) ELSE 0 END) >> 1,
+                   (xor(crc, CASE WHEN i % 8 = 0 THEN ascii(substr(digits, i // 8 + 1, 1)) ELSE 0 END) & 1)
+                       * 3988292384), 4294967295)) AS h
+    FROM named
+), placed AS (
+    SELECT *, sum(length(header) + length(body) + 1)
+                  OVER (PARTITION BY conv_id, me, part ORDER BY position) - 1 AS stop
+    FROM pieces
+)
+SELECT conv_id, CASE WHEN me = '' THEN 'unknown' ELSE me END AS perspective, part,
+       count(*) AS n_turns, CAST(count(*) FILTER (learn) AS BIGINT) AS n_learned,
+       string_agg(header || body || chr(10), '' ORDER BY position) AS rendered,
+       coalesce(string_agg((stop - length(body))::BIGINT || '-' || stop::BIGINT, ','
+           ORDER BY position) FILTER (learn), '') AS mask
+FROM placed
+GROUP BY conv_id, me, part
+"""
+
+ORACLE["op12_periodic_runs"] = r"""
+WITH named AS (
+    SELECT doc_id, CAST(doc_id AS VARCHAR) AS digits,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), hashed AS (
+    SELECT doc_id, words, xor(4294967295, list_reduce(range(8 * length(digits)), lambda crc, i:
+               xor(xor(crc, CASE WHEN i % 8 = 0 THEN ascii(substr(digits, i // 8 + 1, 1)) ELSE 0 END)
+                       >> 1,
+                   (xor(crc, CASE WHEN i % 8 = 0 THEN ascii(substr(digits, i // 8 + 1, 1)) ELSE 0 END)
+                       & 1) * 3988292384), 4294967295)) AS h
+    FROM named
+), placed AS (
+    SELECT doc_id, words, h, len(words) AS n,
+           CASE WHEN len(words) > 0 THEN (h // 10) % len(words) ELSE 0 END AS a
+    FROM hashed
+), positions AS (
+    SELECT doc_id, unnest(range(n)) AS i, words, a, h % 10 = 0 AS planted,
+           1 + (n - a) // (3 + (h // 10) % 8) AS p
+    FROM placed WHERE n > 0
+), tokens AS (
+    SELECT doc_id, i,
+           list_extract(words, 1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END) AS word
+    FROM positions
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id
+), equal AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q
+    FROM tokens x JOIN tokens y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i
+    JOIN sizes ON x.doc_id = sizes.doc_id
+    WHERE 4 * (y.i - x.i) <= n
+), islands AS (
+    SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island
+    FROM equal
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+    FROM islands GROUP BY doc_id, q, island
+    HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)
+               AS lines
+    FROM runs GROUP BY doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id
+               ORDER BY length::DOUBLE / period DESC, start, period) AS place
+    FROM runs
+), dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT tokens.doc_id, string_agg(word, ' ' ORDER BY tokens.i) AS collapsed
+    FROM tokens ANTI JOIN dropped ON tokens.doc_id = dropped.doc_id AND tokens.i = dropped.i
+    GROUP BY tokens.doc_id
+)
+SELECT documents.doc_id, coalesce(n_runs, 0) AS n_runs, ranked.start, ranked.length, ranked.period,
+       1000 * ranked.length // ranked.period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed ON documents.doc_id = listed.doc_id
+LEFT JOIN ranked ON documents.doc_id = ranked.doc_id AND place = 1
+LEFT JOIN kept ON documents.doc_id = kept.doc_id
+"""
+
+ORACLE["op13_lexical_search"] = r"""
+WITH doc_terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), item_terms AS (
+    SELECT item_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id
+), totals AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths
+), frequencies AS (
+    SELECT doc_id, term, count(*) AS tf FROM doc_terms
+    WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM frequencies, totals GROUP BY term, docs
+), parts AS (
+    SELECT doc_id, term,
+           w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))) AS part
+    FROM frequencies JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score
+    FROM item_terms JOIN parts USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT)
+               AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
