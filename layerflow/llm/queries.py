@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from layerflow.llm import (
     chat,
     decontaminate,
+    jaccard,
     licenses,
     pii,
     quality,
@@ -130,6 +131,12 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("mask", F.array_join(spans, ","))
 
 
+@query
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.jaccard_classes(docs, shingle=5, percent=80)
+
+
 def planted_text(doc_id: Column, text: Column) -> Column:
     """One text in ten with its words from some place on repeated at a period, by the id's crc32."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
@@ -214,6 +221,37 @@ FROM placed
 GROUP BY conv_id, me, part
 """
 
+ORACLE["op11_ngram_jaccard"] = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), places AS (
+    SELECT doc_id, words, unnest(range(greatest(1, len(words) - 4))) AS i
+    FROM split WHERE len(words) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(words, i + 1, i + 5), ' ') AS shingle
+    FROM places
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * common.n >= 80 * (p.n + q.n - common.n)
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+FROM reached LEFT JOIN sizes ON sizes.doc_id = a
+GROUP BY a
+"""
+
 ORACLE["op12_periodic_runs"] = r"""
 WITH named AS (
     SELECT doc_id, CAST(doc_id AS VARCHAR) AS digits,
@@ -239,6 +277,37 @@ FROM placed
 GROUP BY conv_id, me, part
 """
 
+ORACLE["op11_ngram_jaccard"] = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), places AS (
+    SELECT doc_id, words, unnest(range(greatest(1, len(words) - 4))) AS i
+    FROM split WHERE len(words) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(words, i + 1, i + 5), ' ') AS shingle
+    FROM places
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * common.n >= 80 * (p.n + q.n - common.n)
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+FROM reached LEFT JOIN sizes ON sizes.doc_id = a
+GROUP BY a
+"""
+
 ORACLE["op12_periodic_runs"] = r"""
 WITH named AS (
     SELECT doc_id, CAST(doc_id AS VARCHAR) AS digits,
