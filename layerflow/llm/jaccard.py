@@ -321,52 +321,65 @@ def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Recor
         yield rest
 
 
-def _clusters(members: DataFrame, percent: int) -> DataFrame:
-    """``size, mark, id``: groups cut down to sets that candidate links connect, each once."""
+def _candidates(members: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: of each group's sets that candidate links connect, the first with every other one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 4):
             part, n, ids = (group.column(k).to_numpy() for k in (4, 5, 6))
             label = candidate_labels(n, group.column(7).to_pylist(), part, percent)
-            _, place, size = np.unique(label, return_inverse=True, return_counts=True)
-            many = np.flatnonzero(size[place] > 1)
-            if not len(many):
-                continue
-            marks = np.zeros(len(size), np.uint64)
-            np.bitwise_xor.at(marks, place, mixed(ids.astype(np.uint64) + _STEP))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "size": size[place[many]],
-                    "mark": marks[place[many]].view(np.int64),
-                    "id": ids[many],
-                }
-            )
-
-    return members.mapInArrow(run, "size long, mark long, id long").distinct()
-
-
-def _links(clusters: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: of each cluster's sets that links connect, the first with every other one."""
+            other = np.flatnonzero(label != np.arange(len(ids)))
+            if len(other):
+                yield pa.RecordBatch.from_pydict({"a": ids[label[other]], "b": ids[other]})
+
+    return members.mapInArrow(run, "a long, b long").distinct()
+
+
+def _links(families: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: of each group's sets that links connect, the first with every other one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, 2):
-            ids = group.column(2).to_numpy()
-            sets = [np.frombuffer(t, np.uint64) for t in group.column(3).to_pylist()]
+        for group in _groups(batches, 3):
+            ids = group.column(3).to_numpy()
+            sets = [np.frombuffer(t, np.uint64) for t in group.column(4).to_pylist()]
             label = exact_labels(sets, percent)
             other = np.flatnonzero(label != np.arange(len(ids)))
             if len(other):
                 yield pa.RecordBatch.from_pydict({"a": ids[label[other]], "b": ids[other]})
 
-    return clusters.mapInArrow(run, "a long, b long").distinct()
+    return families.mapInArrow(run, "a long, b long").distinct()
+
+
+def _in_parts(rows: DataFrame, group: Sequence[str], percent: int) -> DataFrame:
+    """Rows ``n, id`` of groups, with ``a, b, part``: a group's parts of ``CHUNK`` sets, two by two.
+
+    The parts go by size; ``a`` and ``b`` meet where the ranges of their sizes let them, and each
+    part meets itself. Small groups have one part.
+    """
+    by_size = Window.partitionBy(*group).orderBy("n", "id")
+    place = F.floor((F.row_number().over(by_size) - 1) / CHUNK)
+    rows = rows.withColumns({"part": place, "_size": F.count("*").over(Window.partitionBy(*group))})
+    zero = F.lit(0).cast("long")
+    columns = [*group, "a", "b", "part", "n", "id"]
+    small = rows.where(F.col("_size") <= CHUNK).withColumns({"a": zero, "b": zero})
+    large = rows.where(F.col("_size") > CHUNK)
+    parts = large.groupBy(*group, "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    left = parts.select(*group, F.col("part").alias("a"), F.col("high").alias("a_high"))
+    right = parts.select(*group, F.col("part").alias("b"), F.col("low").alias("b_low"))
+    meet = (
+        left.join(right, list(group))
+        .where((F.col("a") <= F.col("b")) & (F.col("b_low") * percent <= F.col("a_high") * 100))
+        .select(*group, "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("part"))
+    )
+    dealt = large.join(meet, [*group, "part"])
+    return small.select(*columns).unionByName(dealt.select(*columns))
 
 
 def _meeting(sets: DataFrame, percent: int) -> DataFrame:
     """``size, mark, a, b, part, n, id``: sets that share a prefix token, by groups of such.
 
     Tokens held by the same sets make one group, named by its size and the XOR of its sets'
-    hashes. A set stays if another of the group is near enough in size. A group of more than
-    ``CHUNK`` sets is cut, in order of size, into parts of so many; parts ``a`` and ``b`` meet in a
-    group of their own where the ranges of their sizes let them.
+    hashes. A set stays if another of the group is near enough in size.
     """
     by_token = Window.partitionBy("token")
     held = sets.select(F.explode("prefix").alias("token"), "id", "n").withColumns(
@@ -381,24 +394,7 @@ def _meeting(sets: DataFrame, percent: int) -> DataFrame:
         F.lead("n").over(by_size) * percent <= F.col("n") * 100
     )
     rows = rows.withColumn("near", near).where("near").drop("near")
-    place = F.floor((F.row_number().over(by_size) - 1) / CHUNK)
-    rows = rows.withColumn("part", place)
-    zero = F.lit(0).cast("long")
-    columns = ["size", "mark", "a", "b", "part", "n", "id"]
-    small = rows.where(F.col("size") <= CHUNK).withColumns({"a": zero, "b": zero})
-    large = rows.where(F.col("size") > CHUNK)
-    parts = large.groupBy("size", "mark", "part").agg(
-        F.min("n").alias("low"), F.max("n").alias("high")
-    )
-    left = parts.select("size", "mark", F.col("part").alias("a"), F.col("high").alias("a_high"))
-    right = parts.select("size", "mark", F.col("part").alias("b"), F.col("low").alias("b_low"))
-    meet = (
-        left.join(right, ["size", "mark"])
-        .where((F.col("a") <= F.col("b")) & (F.col("b_low") * percent <= F.col("a_high") * 100))
-        .select("size", "mark", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("part"))
-    )
-    dealt = large.join(meet, ["size", "mark", "part"])
-    return small.select(*columns).unionByName(dealt.select(*columns))
+    return _in_parts(rows, ["size", "mark"], percent)
 
 
 def jaccard_classes(
@@ -421,7 +417,7 @@ def jaccard_classes(
        meet in the groups of such tokens.
     2. In each group a signature tree, of bitmaps with one or two bits for each token, is
        traversed against itself; node pairs are pruned by their greatest possible overlap. What
-       is left are clusters of candidates, mostly true ones.
+       is left connects families of candidates, mostly true ones; a set is in one at most.
     3. Only these get their tokens, from the whole texts again. Trees with a bit for every token
        give the links, which alternating stars turn into components.
 
@@ -448,19 +444,23 @@ def jaccard_classes(
         *by_group, "part", "n", "id", "bitmap"
     )
     grouped = with_bits.repartition(*by_group).sortWithinPartitions(*by_group, "n", "id")
-    clusters = stored(_clusters(grouped, percent), "jaccard-clusters")
+    candidates = stored(_candidates(grouped, percent), "jaccard-candidates")
 
-    wanted = sets.select("key", "id").join(clusters.select("id").distinct(), "id")
+    families = components(candidates).select(
+        F.col("node").alias("id"), F.col("component").alias("family")
+    )
+    families = stored(families.join(sets.select("id", "n", "key"), "id"), "jaccard-families")
     tokens = add_from_text(
-        rows_wanted(keyed, wanted, "key"),
+        rows_wanted(keyed, families.select("key", "id"), "key"),
         lambda texts: {"tokens": _as_bytes(*token_sets(texts, shingle))},
         {"tokens": (pa.binary(), "binary")},
         keep=["id"],
     )
     tokens = tokens.groupBy("id").agg(F.first("tokens").alias("tokens"))  # of equal rows
-    by_cluster = ["size", "mark"]
-    whole = clusters.join(tokens, "id").select(*by_cluster, "id", "tokens")
-    whole = whole.repartition(*by_cluster).sortWithinPartitions(*by_cluster, "id")
+    by_family = ["family", "a", "b"]
+    parts = _in_parts(families.select("family", "n", "id"), ["family"], percent)
+    whole = parts.join(tokens, "id").select(*by_family, "id", "tokens")
+    whole = whole.repartition(*by_family).sortWithinPartitions(*by_family, "id")
     links = stored(_links(whole, percent), "jaccard-links")
 
     linked = components(links).withColumnRenamed("node", "id")
