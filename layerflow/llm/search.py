@@ -25,7 +25,6 @@ BITS_PER_KEY = 8  # at least; a width is a power of two
 _CELLS = 1 << 23  # bits of a block at most, unless one document has more
 _DOCS = 1024  # documents of a block at most
 _TERMS = 1 << 18  # terms counted before a task sends its counts on
-_SLICE_CHARS = 1 << 22
 
 # Bytes of terms: A-Z as a-z, other letters, digits and all above 0x7F as they are; rest: blank.
 _TERM_BYTES = bytes(
@@ -137,7 +136,7 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
         for batch in batches:
             keys = batch.column(1).to_numpy()
-            for start, _, texts in text_slices(batch.column(0), _SLICE_CHARS):
+            for start, _, texts in text_slices(batch.column(0)):
                 parsed = [terms_of(t) for t in texts]
                 blocks, counts = block_signatures(parsed)
                 seen.update(counts)
@@ -234,6 +233,14 @@ class Queries:
         ]
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, bytes]]:
+    """Width, keys, lengths and slices of one block after another."""
+    for i in range(batch.num_rows):
+        width, keys, lengths, cells = (column[i] for column in batch.columns)
+        keys, lengths = (x.values.to_numpy(zero_copy_only=False) for x in (keys, lengths))
+        yield width.as_py(), keys, lengths, cells.as_py()
+
+
 def _ranked(rows: DataFrame, by: str, k: int, *ties: str) -> DataFrame:
     """The first ``k`` rows of each item, with their ``rank``."""
     order = [F.col(by).desc(), *(F.col(c).asc_nulls_last() for c in ties)]
@@ -247,9 +254,9 @@ def _best_bounds(index: LexicalIndex, shared, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, best = shared.value, None
         for batch in batches:
-            for row in batch.to_pylist():
-                bounds = queries.bounds(row["width"], np.array(row["lengths"]), row["slices"])
-                keys = np.broadcast_to(np.array(row["keys"]), bounds.shape)
+            for width, keys, lengths, cells in _blocks(batch):
+                bounds = queries.bounds(width, lengths, cells)
+                keys = np.broadcast_to(keys, bounds.shape)
                 if best is not None:
                     bounds = np.concatenate((best[0], bounds), axis=1)
                     keys = np.concatenate((best[1], keys), axis=1)
@@ -275,12 +282,11 @@ def _not_excluded(index: LexicalIndex, shared, least: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, least = shared.value, limits.value[:, None]
         for batch in batches:
-            for row in batch.to_pylist():
-                bounds = queries.bounds(row["width"], np.array(row["lengths"]), row["slices"])
+            for width, keys, lengths, cells in _blocks(batch):
+                bounds = queries.bounds(width, lengths, cells)
                 item, column = np.nonzero((bounds >= least) & (bounds > 0))
                 if len(item):
-                    keys = np.array(row["keys"])[column]
-                    yield pa.RecordBatch.from_pydict({"item": item, "key": keys})
+                    yield pa.RecordBatch.from_pydict({"item": item, "key": keys[column]})
 
     blocks = index.rows.where("kind = 'block'").select("width", "keys", "lengths", "slices")
     return blocks.mapInArrow(run, "item long, key long")
