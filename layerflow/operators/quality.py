@@ -10,11 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerflow.functions import timestamp_literal
+from layerflow.operators.relational import SetRule
 
 REASON = "quarantine_reason"
 CLEAN = "clean"
 
 
+def check_reason(reason: object) -> None:
+    if not isinstance(reason, str) or not reason or reason == CLEAN:
+        raise ValueError(f"not a reason: {reason!r}")
+
+
 @dataclass(frozen=True)
 class Rule:
     """``passes`` must be true for a row to be clean; false and null both fail.
@@ -26,8 +32,7 @@ class Rule:
     passes: Column
 
     def __post_init__(self) -> None:
-        if not isinstance(self.reason, str) or not self.reason or self.reason == CLEAN:
-            raise ValueError(f"not a reason: {self.reason!r}")
+        check_reason(self.reason)
 
     @classmethod
     def not_null(cls, column: str, reason: str) -> Rule:
@@ -52,11 +57,28 @@ def first_failure(rules: Sequence[Rule]) -> Column:
     return F.coalesce(*(F.when(rule.fails, F.lit(rule.reason)) for rule in rules))
 
 
-def classify(df: DataFrame, rules: Sequence[Rule], reason: str = REASON) -> DataFrame:
-    """Append the first failing reason; null marks a clean row."""
+def needs_other_rows(rules: Sequence[Rule | SetRule]) -> bool:
+    return any(isinstance(rule, SetRule) for rule in rules)
+
+
+def classify(
+    df: DataFrame, rules: Sequence[Rule | SetRule], reason: str = REASON
+) -> DataFrame:
+    """Append the first failing reason; null marks a clean row.
+
+    Rules that need other rows look at all rows of ``df``, whatever the other rules say of them;
+    with such rules ``df`` is read more than once, so store it where it is costly.
+    """
     if not rules:
         raise ValueError("no rules given")
-    return df.withColumn(reason, first_failure(rules))
+    columns, row_rules = df.columns, []
+    for n, rule in enumerate(rules):
+        if isinstance(rule, SetRule):
+            check_reason(rule.reason)
+            df = rule.judged(df, flag := f"_passes_{n}")
+            rule = Rule(rule.reason, F.col(flag))
+        row_rules.append(rule)
+    return df.select(*columns, first_failure(row_rules).alias(reason))
 
 
 def split_by_quality(
@@ -85,7 +107,7 @@ def quality_report(classified: DataFrame, reason: str = REASON) -> DataFrame:
     )
 
 
-def quality_counters(rules: Sequence[Rule], reason: str = REASON) -> dict[str, Column]:
+def quality_counters(rules: Sequence[Rule | SetRule], reason: str = REASON) -> dict[str, Column]:
     """The report's counts as aggregates to observe while ``classified`` is being written."""
     outcomes = dict.fromkeys(rule.reason for rule in rules)
     return {CLEAN: F.count_if(F.col(reason).isNull())} | {

@@ -40,8 +40,9 @@ def dedupe_latest(
 
     Plan: one exchange on the key. ``max`` combines before it, so a hot key leaves each
     map task as one row. ``how="window"`` ranks instead, which is cheaper where nearly every key
-    has one row; there too each map task sends no more than one row per key on, unless
-    ``n_versions`` is asked for. Kept null-key rows never enter the exchange.
+    has one row; there too each map task sends no more than one row per key on. ``n_versions`` then
+    costs a second exchange, of keys and partial counts, whose result meets the winners where they
+    lie; null keys are counted by the other form. Kept null-key rows never enter the exchange.
     """
     if null_keys not in ("collapse", "keep"):
         raise ValueError(f"null_keys: {null_keys!r}")
@@ -72,10 +73,18 @@ def dedupe_latest(
     if how == "window":
         by_key = Window.partitionBy(*keys)
         rank = F.row_number().over(by_key.orderBy(*(c.desc_nulls_last() for c in ranked)))
-        rows = df.withColumn("_rank", rank)
-        if n_versions:
-            rows = rows.withColumn(n_versions, F.count("*").over(by_key))
-        return rows.filter("_rank = 1").select(*df.columns, *extra)
+        if not n_versions:
+            return df.withColumn("_rank", rank).filter("_rank = 1").select(*df.columns)
+        # a count over the window would keep a key's rows together: it would rule out the rank's
+        # limit in each map task
+        keyed = df.filter(~any_null(keys))
+        first = keyed.withColumn("_rank", rank).filter("_rank = 1").select(*df.columns)
+        counts = keyed.groupBy(*keys).agg(*counted)
+        keyless = dedupe_latest(
+            df.filter(any_null(keys)), keys, latest_by, n_versions=n_versions
+        )
+        counted_first = first.join(counts, list(keys)).select(*df.columns, n_versions)
+        return counted_first.unionByName(keyless)
     row = F.struct(*carried)
     winner = F.max_by(row, F.struct(*ranked)) if loose else F.max(row)
     grouped = df.groupBy(*keys).agg(winner.alias("_row"), *counted)

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from layerflow.functions import Category, FixedDecimal, ParseTime, any_null
 from layerflow.operators import (
+    Clauses,
     Rule,
+    SetRule,
     add_audit_columns,
     classify,
     conform,
@@ -21,12 +23,22 @@ from layerflow.operators import (
     quality_counters,
     split_by_quality,
 )
-from layerflow.operators.quality import CLEAN, REASON
-from layerflow.sinks import append_rows, upsert_bucketed_table, upsert_table, write_snapshot
+from layerflow.operators.merge import PLAIN
+from layerflow.operators.profile import profile_counters, profile_rows
+from layerflow.operators.quality import CLEAN, REASON, needs_other_rows
+from layerflow.sinks import (
+    Upserted,
+    append_rows,
+    stage_table,
+    upsert_bucketed_table,
+    upsert_table,
+    write_snapshot,
+)
 from layerflow.sinks.upsert import check_mergeable
-from layerflow.sources import Layers, read_table
+from layerflow.sources import Layers, read_table, table_exists
 from layerflow.sources.tables import discard, shared_folder
 
+STAMP = "silver_processed_at"  # what conform calls the run's time
 _VERSIONS = "_n_versions"
 
 
@@ -37,16 +49,24 @@ class TableSpec:
     keys: Sequence[str]
     latest_by: Sequence[str]
     conform: Sequence[ParseTime | FixedDecimal | Category]
-    rules: Sequence[Rule]
+    rules: Sequence[Rule | SetRule]
     silver_columns: Sequence[str]
     source_system: str
     null_keys: Literal["collapse", "keep"] = "collapse"
+    dedupe_by: Literal["aggregate", "window"] = "aggregate"
+
+    @property
+    def compared_columns(self) -> list[str]:
+        """Silver columns that say something of the row itself, not of the run or its key."""
+        return [c for c in self.silver_columns if c not in self.keys and c != STAMP]
 
 
 @dataclass
 class LayerRun:
     """Rows per outcome (``clean`` and each reason), what dedupe left out, and seconds per step.
 
+    ``gold`` tells what the merge has replaced.
+
     ``n_read`` bronze rows are ``n_clean``, ``n_rejected``, ``n_superseded`` older versions, and
     ``n_collapsed`` rows with a null key that others of that key stand for.
     """
@@ -55,6 +75,7 @@ class LayerRun:
     n_read: int = 0
     n_superseded: int = 0
     n_collapsed: int = 0
+    gold: Upserted = Upserted()
     seconds: dict[str, float] = field(default_factory=dict)
 
     @property
@@ -66,17 +87,32 @@ class LayerRun:
         return sum(self.counts.values()) - self.n_clean
 
 
-def classified_rows(
+def latest_rows(
     bronze: DataFrame,
     spec: TableSpec,
     run_ts: str | datetime | Column,
     n_versions: str | None = None,
 ) -> DataFrame:
-    """Bronze rows deduplicated, conformed and classified: silver and quarantine in one frame."""
+    """Bronze rows deduplicated and conformed."""
     latest = dedupe_latest(
-        bronze, spec.keys, spec.latest_by, spec.null_keys, n_versions=n_versions
+        bronze,
+        spec.keys,
+        spec.latest_by,
+        spec.null_keys,
+        how=spec.dedupe_by,
+        n_versions=n_versions,
     )
-    return classify(conform(latest, spec.conform, run_ts), spec.rules)
+    return conform(latest, spec.conform, run_ts, STAMP)
+
+
+def classified_rows(
+    bronze: DataFrame,
+    spec: TableSpec,
+    run_ts: str | datetime | Column,
+    n_versions: str | None = None,
+) -> DataFrame:
+    """Bronze rows deduplicated, conformed and classified: silver and quarantine in one frame."""
+    return classify(latest_rows(bronze, spec, run_ts, n_versions), spec.rules)
 
 
 def ingest(
@@ -97,6 +133,7 @@ def clean(
     run_ts: str | datetime | Column,
     fmt: str = "parquet",
     run_id: str | None = None,
+    with_profile: bool = False,
 ) -> LayerRun:
     """Replace silver by bronze's clean rows, append the others to quarantine, count all.
 
@@ -107,7 +144,12 @@ def clean(
     """
     bronze = read_table(spark, layers.bronze, fmt=fmt)
     versions = F.col(_VERSIONS)
-    classified = classified_rows(bronze, spec, run_ts, _VERSIONS)
+    latest, conformed = latest_rows(bronze, spec, run_ts, _VERSIONS), None
+    if needs_other_rows(spec.rules):
+        # such rules read the rows more than once
+        conformed = stage_table(latest, "layerflow-conformed")
+        latest = spark.read.schema(latest.schema).parquet(conformed)
+    classified = classify(latest, spec.rules)
     is_clean, no_key = F.col(REASON).isNull(), any_null(spec.keys)
     seen = Observation()
     outcomes = quality_counters(spec.rules)
@@ -119,7 +161,10 @@ def clean(
         F.count_if(no_key),
         *outcomes.values(),
     ]
-    needed = classified.observe(seen, *(c.alias(f"n{i}") for i, c in enumerate(counters))).select(
+    observed = {f"n{i}": c for i, c in enumerate(counters)}
+    profiled = list(spec.silver_columns) if with_profile else []
+    observed |= profile_counters(classified, profiled, is_clean)
+    needed = classified.observe(seen, *(c.alias(name) for name, c in observed.items())).select(
         is_clean.alias("_is_clean"),
         # clean rows go on with silver's columns only: nulls cost next to nothing to store
         *(
@@ -144,8 +189,13 @@ def clean(
         write_snapshot(silver, layers.silver, fmt=fmt)
         n_rejected = total - run.n_clean
         append_rows(rejected, layers.quarantine, fmt=fmt, n_rows=n_rejected, run_id=run_id)
+        if profiled:
+            found = profile_rows(spark, profiled, seen.get)
+            append_rows(found, layers.profiles, n_rows=len(profiled), run_id=run_id)
     finally:
         discard(spark, staged)
+        if conformed is not None:
+            discard(spark, conformed)
     return run
 
 
@@ -157,24 +207,55 @@ def publish(
     buckets: int | None = None,
     files_per_bucket: int = 1,
     gold_table: str | None = None,
-) -> None:
+    changed_only: bool = False,
+    clauses: Clauses = PLAIN,
+) -> Upserted:
     """Merge silver into gold by key; the first run creates gold and needs ``buckets``."""
     silver = read_table(spark, layers.silver, fmt=fmt)
+    compare_cols = spec.compared_columns if changed_only else None
+    return merge_into_gold(
+        spark, silver, spec, layers, fmt, buckets, files_per_bucket, gold_table, compare_cols, clauses
+    )
+
+
+def merge_into_gold(
+    spark: SparkSession,
+    rows: DataFrame,
+    spec: TableSpec,
+    layers: Layers,
+    fmt: str,
+    buckets: int | None,
+    files_per_bucket: int,
+    gold_table: str | None,
+    compare_cols: Sequence[str] | None,
+    clauses: Clauses,
+) -> Upserted:
     if gold_table is not None:
+        is_first = not table_exists(spark, table=gold_table)
         left = upsert_bucketed_table(
-            spark, gold_table, layers.gold, silver, spec.keys, fmt=fmt, buckets=buckets
+            spark,
+            gold_table,
+            layers.gold,
+            rows,
+            spec.keys,
+            fmt=fmt,
+            buckets=buckets,
+            compare_cols=compare_cols,
+            clauses=clauses,
         )
         if left is not None:
             discard(spark, left)
-        return
-    upsert_table(
+        return Upserted(wrote=is_first or left is not None)
+    return upsert_table(
         spark,
         layers.gold,
-        silver,
+        rows,
         spec.keys,
         fmt=fmt,
         buckets=buckets,
         files_per_bucket=files_per_bucket,
+        compare_cols=compare_cols,
+        clauses=clauses,
     )
 
 
@@ -190,6 +271,9 @@ def run_layers(
     buckets: int | None = None,
     files_per_bucket: int = 1,
     gold_table: str | None = None,
+    changed_only: bool = False,
+    clauses: Clauses = PLAIN,
+    with_profile: bool = False,
 ) -> LayerRun:
     """One run of the whole flow; the first step that fails ends it.
 
@@ -198,6 +282,11 @@ def run_layers(
     that catalog table, bucketed by its key, in folders under the gold path: the merge then
     exchanges silver alone, and the folder of the run before is removed after the switch.
     The first run into a gold needs ``buckets``.
+
+    With ``changed_only`` gold rows that silver says nothing new of stay as they are, with the
+    time of the run that brought them; a run without changes writes no gold. ``clauses`` make
+    updates conditional, or delete or mark gold rows that silver lacks. ``with_profile`` keeps counts
+    and sketches of silver's columns for each run.
     """
     check_mergeable(fmt)
     seconds = {}
@@ -209,7 +298,8 @@ def run_layers(
         return result
 
     timed("bronze", ingest, source, spec, layers, run_ts, fmt)
-    run = timed("silver", clean, spark, spec, layers, run_ts, fmt, run_id)
-    timed("gold", publish, spark, spec, layers, fmt, buckets, files_per_bucket, gold_table)
+    run = timed("silver", clean, spark, spec, layers, run_ts, fmt, run_id, with_profile)
+    options = (fmt, buckets, files_per_bucket, gold_table, changed_only, clauses)
+    run.gold = timed("gold", publish, spark, spec, layers, *options)
     run.seconds = seconds
     return run

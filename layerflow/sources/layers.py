@@ -38,3 +38,15 @@ class Layers:
     @property
     def gold(self) -> str:
         return self.path("gold")
+
+    @property
+    def marks(self) -> str:
+        return self.path("marks")
+
+    @property
+    def replayed(self) -> str:
+        return self.path("replayed")
+
+    @property
+    def profiles(self) -> str:
+        return self.path("profiles")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 RUN_TS = "2001-01-02 00:00:00"
 AS_OF = "2001-01-01 00:00:00"
 SECOND_RUN_TS = "2001-01-03 00:00:00"
+# When the later run's changes were made: after all of the first source's.
+CHANGED_AT = "2009-01-01 00:00:00"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -96,3 +98,38 @@ def upsert_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lower("o_orderstatus").alias("order_status"),
         )
     )
+
+
+def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source at a later run at which each change moves ``updated_at``; some orders are new."""
+    key, is_changed = F.col("order_id"), F.col("order_id") % 9 == 0
+    raw = raw_orders(spark, sf_dir)
+    changed = raw.withColumns(
+        {
+            "amount": F.when(key % 18 == 0, -F.col("amount")).otherwise(F.col("amount")),
+            "status": F.when(is_changed, "returned").otherwise(F.col("status")),
+            "updated_at": F.when(is_changed, F.lit(CHANGED_AT).cast("timestamp_ntz")).otherwise(
+                F.col("updated_at")
+            ),
+        }
+    )
+    added = raw.filter(key % 50 == 0).withColumns(
+        {"order_id": -key, "updated_at": F.lit(CHANGED_AT).cast("timestamp_ntz")}
+    )
+    return changed.unionByName(added)
+
+
+def dated_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("updated_at")
+    )
+    return upsert_target(spark, sf_dir).join(dates, "order_id")
+
+
+def dated_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of which a third is older than what is stored, and a third is as old."""
+    later = F.make_dt_interval((F.col("o_orderkey") % 3 - 1).cast("int"))
+    dates = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), (F.col("o_orderdate") + later).alias("updated_at")
+    )
+    return upsert_updates(spark, sf_dir).join(dates, "order_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.inputs import AS_OF, RUN_TS, SECOND_RUN_TS
+from workload.inputs import AS_OF, CHANGED_AT, RUN_TS, SECOND_RUN_TS
 
 PRICE = "CAST(o_totalprice AS DECIMAL(10,2))"
 
@@ -36,6 +36,19 @@ later AS (
   WHERE order_id IS NULL OR order_id % 3 <> 0
 )"""
 
+CHANGED = f"""
+later AS (
+  SELECT order_id, customer_id,
+    CASE WHEN order_id % 18 = 0 THEN CAST(-amount AS DECIMAL(10,2)) ELSE amount END AS amount,
+    CASE WHEN order_id % 9 = 0 THEN 'returned' ELSE status END AS status,
+    created_at,
+    CASE WHEN order_id % 9 = 0 THEN TIMESTAMP '{CHANGED_AT}' ELSE updated_at END AS updated_at
+  FROM raw
+  UNION ALL
+  SELECT -order_id, customer_id, amount, status, created_at, TIMESTAMP '{CHANGED_AT}'
+  FROM raw WHERE order_id % 50 = 0
+)"""
+
 RAW_COLUMNS = "order_id, customer_id, amount, status, created_at, updated_at"
 SILVER = """order_id, customer_id, order_timestamp, total_amount, order_status,
   silver_processed_at"""
@@ -97,6 +110,10 @@ TWO_RUNS = ",".join(
     [CLEANED, LATER, bronze("later", "bronze2", SECOND_RUN_TS),
      latest("bronze2", "newest2"), classified("newest2", "outcome2", SECOND_RUN_TS)]
 )
+SECOND_CHANGED = ",".join(
+    [CLEANED, CHANGED, bronze("later", "bronze2", SECOND_RUN_TS),
+     latest("bronze2", "newest2"), classified("newest2", "outcome2", SECOND_RUN_TS)]
+)
 REJECTED_COLUMNS = f"""{RAW_COLUMNS}, {{audit}}order_timestamp, total_amount, order_status,
   silver_processed_at, quarantine_reason"""
 
@@ -112,6 +129,22 @@ def silver(source: str = "outcome") -> str:
     return f"SELECT {SILVER} FROM {source} WHERE quarantine_reason IS NULL"
 
 
+def changed_gold(runs: str) -> str:
+    """Gold after a second run that leaves rows alone of which it says nothing new."""
+    return f"""
+WITH {runs}, first_gold AS ({silver()}), second_silver AS ({silver("outcome2")})
+SELECT s.order_id, s.customer_id, s.order_timestamp, s.total_amount, s.order_status,
+  CASE WHEN f.order_id IS NOT NULL AND f.customer_id IS NOT DISTINCT FROM s.customer_id
+            AND f.order_timestamp IS NOT DISTINCT FROM s.order_timestamp
+            AND f.total_amount IS NOT DISTINCT FROM s.total_amount
+            AND f.order_status IS NOT DISTINCT FROM s.order_status
+       THEN f.silver_processed_at ELSE s.silver_processed_at END AS silver_processed_at
+FROM second_silver s LEFT JOIN first_gold f ON f.order_id = s.order_id
+UNION ALL
+SELECT * FROM first_gold f
+WHERE NOT EXISTS (SELECT 1 FROM second_silver s WHERE s.order_id = f.order_id)"""
+
+
 UPSERT = f"""
 target AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id, {PRICE} AS total_amount,
@@ -131,6 +164,20 @@ SELECT * FROM updates
 UNION ALL
 SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.order_id = t.order_id)"""
 
+DATED = f"""
+{UPSERT},
+dated_target AS (
+  SELECT t.*, o_orderdate AS updated_at FROM target t JOIN orders ON o_orderkey = t.order_id
+),
+dated_updates AS (
+  SELECT u.*, o_orderdate + (o_orderkey % 3 - 1) * INTERVAL '1' DAY AS updated_at
+  FROM updates u JOIN orders ON o_orderkey = u.order_id
+),
+later AS (
+  SELECT u.* FROM dated_updates u LEFT JOIN dated_target t ON t.order_id = u.order_id
+  WHERE t.order_id IS NULL OR u.updated_at > t.updated_at
+)"""
+
 EVENTS = """
 WITH outcome AS (
   SELECT *,
@@ -294,6 +341,31 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = u.l_orderkey)"""
     "gold_table_upsert": MERGED,
     "gold_bucketed_table_upsert": MERGED,
     "gold_rebucket": MERGED,
+    "gold_merge_newer_only": f"""
+WITH {DATED}
+SELECT * FROM later
+UNION ALL
+SELECT * FROM dated_target t WHERE NOT EXISTS (SELECT 1 FROM later u WHERE u.order_id = t.order_id)""",
+    "gold_merge_delete_missing": f"""
+WITH {UPSERT}
+SELECT * FROM updates
+UNION ALL
+SELECT * REPLACE (CASE WHEN order_id % 7 <> 0 THEN order_id END AS order_id) FROM target t
+WHERE order_status = 'P' AND (order_id % 7 = 0 OR NOT EXISTS (
+  SELECT 1 FROM updates u WHERE u.order_id = t.order_id))""",
+    "gold_table_mark_missing": f"""
+WITH {DATED}
+SELECT *, true AS is_current FROM later
+UNION ALL
+SELECT t.*, EXISTS (SELECT 1 FROM updates u WHERE u.order_id = t.order_id) AS is_current
+FROM dated_target t WHERE NOT EXISTS (SELECT 1 FROM later u WHERE u.order_id = t.order_id)""",
+    "gold_bucketed_delete_missing": f"""
+WITH {DATED}
+SELECT * FROM later
+UNION ALL
+SELECT * FROM dated_target t
+WHERE NOT EXISTS (SELECT 1 FROM later u WHERE u.order_id = t.order_id)
+  AND EXISTS (SELECT 1 FROM updates u WHERE u.order_id = t.order_id)""",
     "gold_preview_topk": f"{GOLD_FIRST} ORDER BY order_timestamp, order_id LIMIT 10",
     "layers_end_to_end": GOLD_FIRST,
     "layers_second_run": f"""
@@ -308,6 +380,70 @@ SELECT * FROM second_silver
 UNION ALL
 SELECT * FROM first_gold f
 WHERE NOT EXISTS (SELECT 1 FROM second_silver s WHERE s.order_id = f.order_id)""",
+    "gold_three_schemas": """
+WITH third AS (SELECT * FROM orders WHERE o_orderkey % 10 >= 8)
+SELECT o_orderkey AS order_id,
+  CASE WHEN o_orderkey % 10 >= 8 THEN o_custkey + 5000000000
+       WHEN o_orderkey % 10 = 6 THEN o_custkey
+       ELSE o_custkey % 30000 END AS customer_id,
+  CASE WHEN o_orderkey % 10 >= 8 THEN CAST(o_totalprice AS DECIMAL(14,4))
+       ELSE CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DECIMAL(14,4)) END AS total_amount,
+  CASE WHEN o_orderkey % 10 = 6 THEN o_orderstatus END AS status
+FROM orders WHERE o_orderkey % 10 <> 7""",
+    "dedupe_window_counted": f"""
+WITH {RAW}, {latest("raw", "newest")},
+counted AS (SELECT order_id, count(*) AS n_versions FROM raw GROUP BY order_id)
+SELECT n.order_id, n.amount, c.n_versions
+FROM newest n JOIN counted c ON c.order_id IS NOT DISTINCT FROM n.order_id""",
+    "layers_profile": f"""
+WITH {TWO_RUNS}, silver AS ({silver()} UNION ALL {silver("outcome2")})
+SELECT 'order_id' AS column_name, count(*) AS n_rows, count(*) - count(order_id) AS n_null,
+       count(DISTINCT order_id) AS n_exact, true AS distinct_is_near,
+       CAST(NULL AS BOOLEAN) AS median_is_near, CAST(min(order_id) AS VARCHAR) AS least
+FROM silver
+UNION ALL
+SELECT 'customer_id', count(*), count(*) - count(customer_id), count(DISTINCT customer_id),
+       true, NULL, CAST(min(customer_id) AS VARCHAR)
+FROM silver
+UNION ALL
+SELECT 'total_amount', count(*), count(*) - count(total_amount), count(DISTINCT total_amount),
+       true, true, CAST(min(total_amount) AS VARCHAR)
+FROM silver
+UNION ALL
+SELECT 'order_status', count(*), count(*) - count(order_status), count(DISTINCT order_status),
+       true, NULL, NULL
+FROM silver""",
+    "layers_arrivals": GOLD_FIRST,
+    "layers_changed_only": changed_gold(TWO_RUNS),
+    "layers_changed_only_bucketed": changed_gold(TWO_RUNS),
+    "layers_incremental_run": changed_gold(SECOND_CHANGED),
+    "orders_relational_rules": f"""
+WITH {CLEANED}, judged AS (
+  SELECT *,
+    count(*) OVER (PARTITION BY customer_id, order_timestamp) AS n_same,
+    count(*) FILTER (order_status = 'F') OVER (PARTITION BY customer_id) AS n_finished,
+    count(*) OVER (PARTITION BY customer_id) AS n_rows,
+    customer_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 3) AS is_known
+  FROM outcome
+)
+SELECT order_id, customer_id,
+  CASE WHEN order_id IS NULL THEN 'Missing order_id'
+       WHEN customer_id IS NOT NULL AND NOT is_known THEN 'Unknown customer'
+       WHEN total_amount IS NULL OR total_amount < 0 THEN 'Negative or null total_amount'
+       WHEN customer_id IS NOT NULL AND order_timestamp IS NOT NULL AND n_same > 1
+         THEN 'Same customer and time'
+       WHEN n_finished * 100 > n_rows * 60 THEN 'Too many finished'
+  END AS quarantine_reason
+FROM judged""",
+    "quarantine_replay": f"""
+WITH {CLEANED}
+{silver()}
+UNION ALL
+SELECT order_id, customer_id, order_timestamp, total_amount, order_status,
+       TIMESTAMP '{SECOND_RUN_TS}' AS silver_processed_at
+FROM outcome
+WHERE quarantine_reason = 'Negative or null total_amount'
+  AND order_timestamp <= TIMESTAMP '{AS_OF}'""",
     "layers_row_balance": f"""
 WITH {CLEANED}, totals AS (
   SELECT (SELECT count(*) FROM bronze) AS n_read,

@@ -3,27 +3,37 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow import (
     Category,
+    Clauses,
+    ExistsIn,
     FixedDecimal,
+    Increment,
     Layers,
     Rule,
+    ShareAtMost,
+    UniqueBy,
     add_audit_columns,
     append_rows,
     classify,
     conform,
     dedupe_latest,
     merge_upsert,
+    newer,
     orders_spec,
     preview,
     quality_counters,
     quality_report,
     read_table,
     rebucket,
+    replay_quarantine,
+    run_increment,
     run_layers,
     shared_folder,
     split_by_quality,
@@ -32,12 +42,17 @@ from layerflow import (
     upsert_table,
     write_snapshot,
 )
+from layerflow.operators.profile import n_distinct, quantile, unite_profiles
 from layerflow.plans.layers import classified_rows
 from layerflow.plans.orders import LATEST_BY, QUARANTINE_PREVIEW, SOURCE_SYSTEM
+from layerflow.streaming import run_arrivals
 from workload.inputs import (
     AS_OF,
     RUN_TS,
     SECOND_RUN_TS,
+    changed_orders,
+    dated_target,
+    dated_updates,
     later_orders,
     load,
     raw_orders,
@@ -353,6 +368,76 @@ def gold_bucketed_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table=table)
 
 
+@query
+def gold_merge_newer_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A match is updated only by a later version."""
+    clauses = Clauses(update_if=newer("updated_at"))
+    target, updates = dated_target(spark, sf_dir), dated_updates(spark, sf_dir)
+    return merge_upsert(target, updates, KEY, clauses=clauses)
+
+
+@query
+def gold_merge_delete_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows without an update go, but for those still pending; some have no key."""
+    no_key = F.when(F.col("order_id") % 7 != 0, F.col("order_id"))
+    clauses = Clauses(orphans="delete", orphan_if=lambda old: old("order_status") != "P")
+    target = upsert_target(spark, sf_dir).withColumn("order_id", no_key)
+    return merge_upsert(target, upsert_updates(spark, sf_dir), KEY, clauses=clauses)
+
+
+@query
+def gold_table_mark_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table, merged twice: later versions only, and rows without an update marked."""
+    path = shared_folder(spark, "layerflow-gold")
+    clauses = Clauses(newer("updated_at"), {"is_current": F.lit(False)})
+    updates = dated_updates(spark, sf_dir).withColumn("is_current", F.lit(True))
+    target = dated_target(spark, sf_dir).withColumn("is_current", F.lit(True))
+    upsert_table(spark, path, target, KEY, buckets=8)
+    for _ in range(2):
+        upsert_table(spark, path, updates, KEY, clauses=clauses)
+    return read_table(spark, path)
+
+
+@query
+def gold_bucketed_delete_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same clauses on the catalog form, where only the updates are exchanged."""
+    folder = shared_folder(spark, "layerflow-gold")
+    table = f"gold_{uuid.uuid4().hex}"
+    clauses = Clauses(newer("updated_at"), "delete")
+    upsert_bucketed_table(spark, table, folder, dated_target(spark, sf_dir), KEY, buckets=8)
+    updates = dated_updates(spark, sf_dir)
+    upsert_bucketed_table(spark, table, folder, updates, KEY, clauses=clauses)
+    return read_table(spark, table=table)
+
+
+@query
+def gold_three_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored gold whose source first adds a column and then widens the types of two."""
+    path = shared_folder(spark, "layerflow-gold")
+    key = F.col("o_orderkey")
+    orders = load(spark, sf_dir, "orders")
+    first = orders.filter(key % 10 < 7).select(
+        key.alias("order_id"),
+        (F.col("o_custkey") % 30_000).cast("int").alias("customer_id"),
+        F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
+    )
+    second = orders.filter(key % 10 == 6).select(
+        key.alias("order_id"),
+        F.col("o_custkey").cast("int").alias("customer_id"),
+        F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    third = orders.filter(key % 10 >= 8).select(
+        key.alias("order_id"),
+        (F.col("o_custkey") + 5_000_000_000).cast("bigint").alias("customer_id"),
+        F.col("o_totalprice").cast("decimal(14,4)").alias("total_amount"),
+    )
+    upsert_table(spark, path, first, KEY, buckets=16)
+    for rows in (second, third):
+        upsert_table(spark, path, rows, KEY, evolve=True)
+    return read_table(spark, path)
+
+
 @query
 def gold_preview_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(gold_bootstrap(spark, sf_dir), 10, ["order_timestamp", "order_id"])
@@ -418,6 +503,129 @@ def layers_second_run_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layers.quarantine)
 
 
+@query
+def layers_changed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold rows that the second run says nothing new of keep the first one's time."""
+    layers = Layers(shared_folder(spark, "layerflow-layers"))
+    options = {"changed_only": True, "buckets": 8}
+    run_layers(spark, raw_orders(spark, sf_dir), spec(), layers, RUN_TS, **options)
+    run_layers(spark, later_orders(spark, sf_dir), spec(), layers, SECOND_RUN_TS, **options)
+    return read_table(spark, layers.gold)
+
+
+@query
+def layers_changed_only_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = Layers(shared_folder(spark, "layerflow-layers"))
+    options = {"changed_only": True, "buckets": 8, "gold_table": f"gold_{uuid.uuid4().hex}"}
+    run_layers(spark, raw_orders(spark, sf_dir), spec(), layers, RUN_TS, **options)
+    run_layers(spark, later_orders(spark, sf_dir), spec(), layers, SECOND_RUN_TS, **options)
+    return read_table(spark, table=options["gold_table"])
+
+
+@query
+def layers_incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run reads only keys that changed; its gold is that of a full run."""
+    layers = Layers(shared_folder(spark, "layerflow-layers"))
+    increment = Increment("updated_at", timedelta(days=1))
+    options = {"changed_only": True, "buckets": 8}
+    first, second = raw_orders(spark, sf_dir), changed_orders(spark, sf_dir)
+    run_increment(spark, first, spec(), layers, RUN_TS, increment, run_id="1", **options)
+    run_increment(spark, second, spec(), layers, SECOND_RUN_TS, increment, run_id="2", **options)
+    return read_table(spark, layers.gold)
+
+
+@query
+def orders_relational_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules about other rows among rules about the row itself, the first failing one wins."""
+    known = load(spark, sf_dir, "customer").filter(F.col("c_custkey") % 10 != 3)
+    rules = [
+        Rule.not_null("order_id", "Missing order_id"),
+        ExistsIn("Unknown customer", ["customer_id"], known, ["c_custkey"]),
+        Rule.at_least("total_amount", 0, "Negative or null total_amount"),
+        UniqueBy("Same customer and time", ["customer_id", "order_timestamp"]),
+        ShareAtMost("Too many finished", ["customer_id"], F.col("order_status") == "F", 60),
+    ]
+    latest = dedupe_latest(raw_orders(spark, sf_dir), KEY, LATEST_BY)
+    rows = stored(conform(latest, spec().conform, RUN_TS))  # such rules read it twice
+    return classify(rows, rules).select("order_id", "customer_id", "quarantine_reason")
+
+
+@query
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected refunds go into gold once the amount rule is dropped, on the first replay alone."""
+    layers = Layers(shared_folder(spark, "layerflow-layers"))
+    run_layers(spark, raw_orders(spark, sf_dir), spec(), layers, RUN_TS, buckets=8, run_id="1")
+    refunds = replace(spec(), rules=[r for r in spec().rules if "amount" not in r.reason])
+    replay_quarantine(spark, refunds, layers, SECOND_RUN_TS, run_id="replay 1")
+    replay_quarantine(spark, refunds, layers, "2001-01-04 00:00:00", run_id="replay 2")
+    return read_table(spark, layers.gold)
+
+
+@query
+def dedupe_window_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking form, which counts versions apart from the rank; null keys are one key."""
+    latest = dedupe_latest(
+        raw_orders(spark, sf_dir), KEY, LATEST_BY, how="window", n_versions="n_versions"
+    )
+    return latest.select("order_id", "amount", "n_versions")
+
+
+@query
+def layers_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs' profiles of silver united: exact counts, sketches held against the rows."""
+    layers = Layers(shared_folder(spark, "layerflow-layers"))
+    options = {"buckets": 8, "with_profile": True}
+    run_layers(spark, raw_orders(spark, sf_dir), spec(), layers, RUN_TS, run_id="1", **options)
+    rows = stored(read_table(spark, layers.silver))
+    run_layers(
+        spark, later_orders(spark, sf_dir), spec(), layers, SECOND_RUN_TS, run_id="2", **options
+    )
+    both = rows.unionByName(read_table(spark, layers.silver))
+    names = ["order_id", "customer_id", "total_amount", "order_status"]
+    exact = both.agg(*(F.countDistinct(c).alias(c) for c in names)).unpivot(
+        [], names, "column_name", "n_exact"
+    )
+    amount = both.agg(
+        F.lit("total_amount").alias("column_name"),
+        F.percentile("total_amount", F.lit(0.45)).alias("low"),
+        F.percentile("total_amount", F.lit(0.55)).alias("high"),
+    )
+    found = unite_profiles(read_table(spark, layers.profiles)).join(exact, "column_name")
+    off = F.abs(n_distinct() - F.col("n_exact"))
+    middle = quantile(0.5)
+    return found.join(amount, "column_name", "left").select(
+        "column_name",
+        "n_rows",
+        "n_null",
+        "n_exact",
+        (off <= 0.08 * F.col("n_exact")).alias("distinct_is_near"),
+        middle.between(F.col("low"), F.col("high")).alias("median_is_near"),
+        F.when(F.col("column_name") != "order_status", F.col("least")).alias("least"),
+    )
+
+
+@query
+def layers_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that arrive in four files, dealt out by key and version, taken in one by one."""
+    layers = Layers(shared_folder(spark, "layerflow-layers"))
+    folder, rows = shared_folder(spark, "layerflow-arriving"), raw_orders(spark, sf_dir)
+    for n in range(4):
+        part = rows.filter(F.pmod(F.xxhash64("order_id", "updated_at"), F.lit(4)) == n)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    run_arrivals(
+        spark,
+        folder,
+        rows.schema,
+        spec(),
+        layers,
+        RUN_TS,
+        checkpoint=shared_folder(spark, "layerflow-checkpoint"),
+        files_per_batch=2,
+        buckets=8,
+    )
+    return read_table(spark, layers.gold)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean orders merged into an older gold of every third order, its first ten by time."""
     silver = stored(silver_orders(spark, sf_dir))  # the merge reads it twice
