@@ -3,32 +3,36 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerflow.llm.text import Points, Runs, add_from_text, mixed
+from layerflow.llm.text import Points, add_from_text, mixed, text_slices
 from layerflow.llm.training import stored
+from layerflow.llm.wanted import bitmap_of, holds, rows_by_key, rows_wanted
 
 SIMILARITY = 0.8
 MIN_WORDS = 13  # matching words that make an overlap, or a whole shorter item's share of them
 SHORTEST = 5  # items with fewer words are no evidence and match nothing
-WHOLE = 6  # items of just so many words match whole, as test_edge_rows has it
 # Words of a seed, by the item's length: the most of which every overlap that counts holds a seed.
-SEED_WORDS = {5: 4, 10: 4, 11: 5, 12: 5}
+SEED_WORDS = {5: 4, 6: 4, 10: 4, 11: 5, 12: 5}
 LONG_SEED_WORDS = 6  # of all other items
+SEED_BITS = 1 << 25  # of the bitmap of the benchmark's seeds, 4 MB whatever the benchmark's size
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_FILTER_BITS = 22
-_BLOCK = "__lf_block"
+_KEY = "__lf_key"
 
 
 def needed_words(length: int) -> int:
     """Matching words that make an overlap with an item of ``length`` words."""
-    return length if length == WHOLE else min(MIN_WORDS, math.ceil(SIMILARITY * length))
+    return min(MIN_WORDS, math.ceil(SIMILARITY * length))
+
+
+def _masks(n: int) -> list[tuple[int, ...]]:
+    holes = (tuple(i for i in range(n + 1) if i != hole) for hole in range(1, n))
+    return [tuple(range(n)), *holes]
 
 
 def seed_masks(length: int) -> list[tuple[int, ...]]:
@@ -39,129 +43,126 @@ def seed_masks(length: int) -> list[tuple[int, ...]]:
     word between, which is under four fifths from 13 matching words on, so no overlap with an item
     of 16 words or more lacks one. The tests prove this, and try all substitutions in shorter items.
     """
-    if length == WHOLE:
-        return [tuple(range(length))]
-    n = SEED_WORDS.get(length, LONG_SEED_WORDS)
-    holes = (tuple(i for i in range(n + 1) if i != hole) for hole in range(1, n))
-    return [tuple(range(n)), *holes]
+    return _masks(SEED_WORDS.get(length, LONG_SEED_WORDS))
 
 
-def _seeds(hashes: np.ndarray, mask: tuple[int, ...], kind: int) -> np.ndarray:
+def _seeds(hashes: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     """Seed hash at each word position from which the mask fits into the array."""
     n = max(0, len(hashes) - mask[-1])
-    total = np.full(n, np.uint64(kind + 1))
+    # masks differ in what they look at, so that begins their hashes
+    total = np.full(n, np.uint64(sum(1 << i for i in mask)))
     for offset in mask:
         total = total * _STEP + hashes[offset : offset + n]
     return mixed(total)
 
 
-@dataclass(frozen=True)
-class SeedIndex:
-    """A block of benchmark items: word hashes, and the places of each seed, sorted by seed."""
-
-    items: list[int]
-    words: np.ndarray
-    offsets: np.ndarray
-    masks: list[tuple[int, ...]]
-    seeds: np.ndarray
-    place: np.ndarray  # word position in ``words``
-    owner: np.ndarray  # index in ``items``
-    filter: np.ndarray
-
-    @classmethod
-    def build(cls, items: list[int], texts: list[str]) -> SeedIndex:
-        points = Points(texts)
-        words = points.alphanumeric()
-        hashes = words.hashes(points.lowered())
-        lengths = words.last - words.first
-        users: dict[tuple[int, ...], list[int]] = {}  # lengths of the items that use a mask
-        for n in np.unique(lengths[lengths >= SHORTEST]).tolist():
-            for mask in seed_masks(n):
-                users.setdefault(mask, []).append(n)
-        masks = list(users)
-        seeds, place = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for kind, mask in enumerate(masks):
-            found = _seeds(hashes, mask, kind)
-            fits = words.doc[: len(found)] == words.doc[mask[-1] : mask[-1] + len(found)]
-            fits &= np.isin(lengths[words.doc[: len(found)]], users[mask])
-            seeds.append(found[fits])
-            place.append(np.flatnonzero(fits))
-        seed, at = np.concatenate(seeds), np.concatenate(place)
-        order = np.argsort(seed, kind="stable")
-        seed, at = seed[order], at[order]
-        known = np.zeros(1 << _FILTER_BITS, bool)
-        known[seed >> np.uint64(64 - _FILTER_BITS)] = True
-        offsets = np.append(words.first, len(words))
-        return cls(items, hashes, offsets, masks, seed, at, words.doc[at], known)
-
-    def hits(self, hashes: np.ndarray, doc: np.ndarray) -> set[tuple[int, int, int]]:
-        """(document, item, item's first word relative to the document's words) of seed hits."""
-        found = set()
-        for kind, mask in enumerate(self.masks):
-            seeds = _seeds(hashes, mask, kind)
-            at = np.flatnonzero(self.filter[seeds >> np.uint64(64 - _FILTER_BITS)])
-            at = at[doc[at] == doc[at + mask[-1]]]
-            low = np.searchsorted(self.seeds, seeds[at], "left")
-            high = np.searchsorted(self.seeds, seeds[at], "right")
-            at, low, n = at[high > low], low[high > low], (high - low)[high > low]
-            # a hit at one word may belong to several items
-            at = np.repeat(at, n)
-            entry = np.repeat(low, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-            owner = self.owner[entry]
-            diagonal = at - (self.place[entry] - self.offsets[owner])
-            found.update(zip(doc[at].tolist(), owner.tolist(), diagonal.tolist(), strict=True))
-        return found
-
-    def overlap(
-        self, hashes: np.ndarray, words: Runs, doc: int, owner: int, diagonal: int
-    ) -> tuple[int, int, int] | None:
-        """(matching words, first word, end) of the longest overlap on a diagonal, if it counts.
-
-        Only substitutions are tolerated: the item is laid along the diagonal, and the stretch
-        between two matching words with the most of them at ``SIMILARITY`` or more is sought.
-        """
-        item = self.words[self.offsets[owner] : self.offsets[owner + 1]]
-        start = max(diagonal, int(words.first[doc]))
-        end = min(diagonal + len(item), int(words.last[doc]))
-        equal = hashes[start:end] == item[start - diagonal : end - diagonal]
-        need = needed_words(len(item))
-        at = np.flatnonzero(equal)
-        if len(at) < need:
-            return None
-        # a stretch from match i to match j counts if its excess of matches is not negative:
-        # tail[j] >= share[i]; for each i the last such j
-        share = np.arange(len(at)) - SIMILARITY * at
-        tail = np.maximum.accumulate((share + 1 - SIMILARITY)[::-1])[::-1]
-        last = np.searchsorted(-tail, -share + 1e-9, "right") - 1
-        matched = last - np.arange(len(at)) + 1
-        i = int(np.argmax(matched))
-        if matched[i] < need:
-            return None
-        return int(matched[i]), start + int(at[i]), start + int(at[last[i]]) + 1
-
-
-def search(texts: list[str], index: SeedIndex) -> list[list[dict]]:
-    """For each text its overlaps, the longest per item, in order of items."""
+def _words(texts: Sequence[str]):
+    """The texts' words (runs of letters and digits) and their hashes in lower case."""
     points = Points(texts)
     words = points.alphanumeric()
-    hashes = words.hashes(points.lowered())
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for doc, owner, diagonal in sorted(index.hits(hashes, words.doc)):
-        if got := index.overlap(hashes, words, doc, owner, diagonal):
-            if (doc, owner) not in best or got[0] > best[doc, owner][0]:
-                best[doc, owner] = got
-    out: list[list[dict]] = [[] for _ in texts]
-    for (doc, owner), (matched, first, end) in sorted(best.items()):
-        out[doc].append(
-            {
-                "item_id": index.items[owner],
-                "matched_words": matched,
-                "overlap_words": end - first,
-                "start": int(words.starts[first] - points.starts[doc]),
-                "end": int(words.ends[end - 1] - points.starts[doc]),
-            }
-        )
-    return out
+    return points, words, words.hashes(points.lowered())
+
+
+def overlap(words: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
+    """(matching words, first word, end) of the longest overlap on a diagonal, if it counts.
+
+    Only substitutions are tolerated: the item's first word is laid on the text's word ``diagonal``,
+    and the stretch between two matching words with the most of them at ``SIMILARITY`` or more
+    is sought.
+    """
+    start, end = max(diagonal, 0), min(diagonal + len(item), len(words))
+    equal = words[start:end] == item[start - diagonal : end - diagonal]
+    need = needed_words(len(item))
+    at = np.flatnonzero(equal)
+    if len(at) < need:
+        return None
+    # a stretch from match i to match j counts if its excess of matches is not negative:
+    # tail[j] >= share[i]; for each i the last such j
+    share = np.arange(len(at)) - SIMILARITY * at
+    tail = np.maximum.accumulate((share + 1 - SIMILARITY)[::-1])[::-1]
+    last = np.searchsorted(-tail, -share + 1e-9, "right") - 1
+    matched = last - np.arange(len(at)) + 1
+    i = int(np.argmax(matched))
+    if matched[i] < need:
+        return None
+    return int(matched[i]), start + int(at[i]), start + int(at[last[i]]) + 1
+
+
+# The benchmark's side.
+
+
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """``item, item_id, n, words``: each distinct item with its word hashes, stored.
+
+    Null ids and texts match nothing, and neither do items of fewer than ``SHORTEST`` words.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").na.drop()
+
+    def compute(texts: list[str]) -> dict[str, Sequence]:
+        _, words, hashes = _words(texts)
+        parts = [hashes[a:b].tobytes() for a, b in zip(words.first, words.last, strict=True)]
+        return {"n": words.last - words.first, "words": parts}
+
+    added = {"n": (pa.int64(), "long"), "words": (pa.binary(), "binary")}
+    rows = add_from_text(items.distinct(), compute, added, keep=["item_id"])
+    numbered = rows.where(F.col("n") >= SHORTEST).distinct()
+    return stored(numbered.withColumn("item", F.monotonically_increasing_id()), "benchmark-items")
+
+
+def item_seeds(items: DataFrame) -> DataFrame:
+    """``seed, item, place``: every seed of every item, and the word it begins at."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hashes = np.frombuffer(text, np.uint64)
+                for mask in seed_masks(len(hashes)):
+                    seeds = _seeds(hashes, mask)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "seed": seeds.view(np.int64),
+                            "item": np.full(len(seeds), item),
+                            "place": np.arange(len(seeds)),
+                        }
+                    )
+
+    return items.select("item", "words").mapInArrow(run, "seed long, item long, place long")
+
+
+# The documents' side.
+
+
+def text_seeds(docs: DataFrame, sizes: Sequence[int], bitmap: np.ndarray, text_col: str) -> DataFrame:
+    """``seed, key, at``: the seeds of whole texts that the benchmark may hold too.
+
+    ``key`` stands for the text; ``sizes`` are the numbers of words in the seeds. The benchmark's
+    bitmap of fixed size, against which each task tests its seeds, leaves nearly no others.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    masks = [mask for n in sizes for mask in _masks(n)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            keys = batch.column(1).to_numpy()
+            for start, _, texts in text_slices(batch.column(0)):
+                _, words, hashes = _words(texts)
+                for mask in masks:
+                    seeds = _seeds(hashes, mask)
+                    at = np.flatnonzero(holds(known, (seeds & np.uint64(SEED_BITS - 1)).astype(np.int64)))
+                    at = at[words.doc[at] == words.doc[at + mask[-1]]]
+                    if len(at):
+                        doc = words.doc[at]
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "seed": seeds[at].view(np.int64),
+                                "key": keys[start + doc],
+                                "at": at - words.first[doc],
+                            }
+                        )
+
+    rows = docs.select(text_col, F.xxhash64(text_col).alias("key"))
+    return rows.mapInArrow(run, "seed long, key long, at long")
 
 
 HIT = pa.struct(
@@ -176,56 +177,110 @@ HIT = pa.struct(
 HIT_DDL = "array<struct<item_id:long,matched_words:int,overlap_words:int,start:int,end:int>>"
 
 
-def benchmark_blocks(benchmark: DataFrame, block_chars: int) -> Iterator[SeedIndex]:
-    """Indexes of about ``block_chars`` characters of items each, one after another.
+def _verified(texts: DataFrame, hits: DataFrame) -> DataFrame:
+    """``key, overlaps`` of the texts (``key, text``) that some hit (``key, diagonal``, item) proves.
 
-    Items are dealt to blocks by hash, so an index's size is bounded whatever the size of the
-    benchmark; no more than one block is on the driver at a time. Null ids and texts match
-    nothing; repeated items count once.
+    A text and its hits come to one task in a row, the text first, and pass through it batch by
+    batch: no task holds all hits of a text, only its overlaps so far, the longest of each item.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").na.drop()
-    items = items.distinct()
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = math.ceil(total / block_chars)
-    for block in range(blocks):
-        rows = items.where(
-            F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
-        ).collect()
-        rows.sort()
-        if rows:
-            yield SeedIndex.build([r.item_id for r in rows], [r.text for r in rows])
-
-
-def _with_block(docs: DataFrame, index: SeedIndex) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def compute(texts: list[str]) -> dict[str, list]:
-        return {_BLOCK: search(texts, shared.value)}
-
-    return add_from_text(docs, compute, {_BLOCK: (pa.list_(HIT), HIT_DDL)})
+    none = F.lit(None)
+    both = texts.select(
+        "key",
+        "text",
+        none.cast("long").alias("diagonal"),
+        none.cast("long").alias("item"),
+        none.cast("long").alias("item_id"),
+        none.cast("binary").alias("words"),
+    ).unionByName(hits.withColumn("text", none.cast("string")))
+    ordered = both.repartition("key").sortWithinPartitions("key", F.col("item").asc_nulls_first())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = points = words = hashes = None
+        best: dict[int, tuple] = {}
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if not best:
+                return
+            rows = []
+            for _, (item_id, (matched, first, end)) in sorted(best.items()):
+                rows.append(
+                    {
+                        "item_id": item_id,
+                        "matched_words": matched,
+                        "overlap_words": end - first,
+                        "start": int(words.starts[first]),
+                        "end": int(words.ends[end - 1]),
+                    }
+                )
+            rows.sort(key=lambda r: (r["item_id"], r["start"]))
+            arrays = [pa.array([key]), pa.array([rows], pa.list_(HIT))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "overlaps"])
+
+        for batch in batches:
+            columns = [batch.column(c) for c in ("key", "diagonal", "item", "item_id", "words")]
+            is_text = batch.column("item").is_null().to_numpy(zero_copy_only=False)
+            for row in range(batch.num_rows):
+                if is_text[row]:
+                    yield from found()
+                    key, best = columns[0][row].as_py(), {}
+                    points, words, hashes = _words([batch.column("text")[row].as_py()])
+                    continue
+                _, diagonal, item, item_id, given = (c[row].as_py() for c in columns)
+                got = overlap(hashes, np.frombuffer(given, np.uint64), diagonal)
+                # of equally long ones the first in the text
+                if got and (item not in best or (-got[0], got[1]) < (-best[item][1][0], best[item][1][1])):
+                    best[item] = (item_id, got)
+        yield from found()
+
+    return ordered.mapInArrow(run, f"key long, overlaps {HIT_DDL}")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, text_col: str) -> DataFrame:
+    """``key, overlaps`` of the texts that overlap an item, stored."""
+    spark = docs.sparkSession
+    items = benchmark_items(benchmark)
+    # at most three: the sizes of seeds
+    lengths = {r.n for r in items.select(F.least("n", F.lit(16)).alias("n")).distinct().collect()}
+    sizes = sorted({SEED_WORDS.get(n, LONG_SEED_WORDS) for n in lengths})
+    if not sizes:
+        return spark.createDataFrame([], f"key long, overlaps {HIT_DDL}")
+    seeds = stored(item_seeds(items), "benchmark-seeds")
+    bitmap = bitmap_of(seeds, F.col("seed").bitwiseAND(F.lit(SEED_BITS - 1)), SEED_BITS)
+    of_texts = text_seeds(docs, sizes, bitmap, text_col)
+    hits = of_texts.join(seeds, "seed").select(
+        "key", "item", (F.col("at") - F.col("place")).alias("diagonal")
+    )
+    hits = stored(hits.distinct(), "benchmark-hits")
+    keyed = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
+    texts = rows_wanted(keyed, hits.select("key").distinct(), "key").dropDuplicates(["key"])
+    whole = hits.join(items.select("item", "item_id", "words"), "item")
+    return stored(_verified(texts, whole), "overlaps")
 
 
 def find_benchmark(
-    docs: DataFrame, benchmark: DataFrame, *, block_chars: int = 4_000_000, column: str = "overlaps"
+    docs: DataFrame, benchmark: DataFrame, *, column: str = "overlaps", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with an array of the benchmark items that each whole text overlaps.
+    """``docs`` with an array of the benchmark items that each whole text overlaps, by id.
 
     Words are runs of letters and digits in lower case. The item is laid along the text and counts
-    when at least 13 words match (four fifths of a shorter item, all of one of 6 words)
-    and the stretch that holds them is at least four fifths equal; every such overlap holds a seed
-    (see ``seed_masks``), around whose hits it is sought. Offsets are in code points. Items of
-    under 5 words match nothing; null and empty texts have no overlaps. ``item_id`` is read as a
-    long. Every block of items is compared with all rows; between two blocks the rows are
-    written to the shared folder, so a task never holds more than one.
+    when at least 13 words match (four fifths of a shorter item) and the stretch that holds them
+    is at least four fifths equal; every such overlap holds a seed (see ``seed_masks``). Texts and
+    items are joined on their seeds, and each diagonal on which a seed agrees is verified. Offsets
+    are in code points. Items of under 5 words match nothing; null and empty texts have no
+    overlaps. ``item_id`` is read as a long; two items of one id count as two. Neither side is held
+    in one place: the benchmark's seeds are known to every task by a bitmap of 4 MB alone, and
+    texts are shuffled only if the bitmap of those with an overlap lets them pass.
     """
-    if column in docs.columns:
+    if column in docs.columns or _KEY in docs.columns:
         raise ValueError(f"column {column} is there already; give another name")
-    found = docs.withColumn(column, F.array().cast(HIT_DDL))
-    for n, index in enumerate(benchmark_blocks(benchmark, block_chars)):
-        if n:
-            found = stored(found, "overlaps")
-        found = _with_block(found, index).withColumn(column, F.concat(column, _BLOCK)).drop(_BLOCK)
-    return found
+    found = _found(docs, benchmark, text_col).withColumnsRenamed({"key": _KEY, "overlaps": column})
+    keyed = docs.withColumn(_KEY, F.xxhash64(text_col))
+    some, rest = rows_by_key(keyed, found, _KEY)
+    empty = F.array().cast(HIT_DDL)
+    matched = some.join(found, _KEY, "left").withColumn(column, F.coalesce(column, empty))
+    return matched.select(*docs.columns, column).unionByName(
+        rest.select(*docs.columns, empty.alias(column))
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
