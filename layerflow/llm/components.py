@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerflow.llm.training import stored
+from layerflow.llm.training import release, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,9 +36,11 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     give no rows.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    state = None
+    state, before = None, None
     for _ in range(max_rounds):
         edges = stored(_small_star(_large_star(edges)), "components")
+        release(before)
+        before = edges
         # a star forest: sums of its links' hashes tell whether the round changed anything
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == state or not seen[0]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerflow.llm.text import let
-from layerflow.llm.training import stored
+from layerflow.llm.training import release, stored
 
 MALE = "Mr Mister Sir Herr Señor Sr Monsieur Господин г-н Κύριος".split()
 FEMALE = "Mrs Ms Miss Madam Lady Frau Señora Señorita Sra Srta Madame Mademoiselle Mme Mlle".split()
@@ -20,13 +20,16 @@ FEMALE += "Госпожа г-жа Κυρία".split()
 MALE += "Don mr".split()
 FEMALE += "Doña mrs ms".split()
 NEUTRAL = "Dr Doctor Prof Professor Rev Reverend Hon Mx Доктор Профессор dr prof rev mx".split()
-TITLES = sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)
-TITLE = r"(?:(?<!\p{N} |\p{N})(?=ms)ms|" + "|".join(t for t in TITLES if t != "ms") + ")"
+# Of titles in capitals these: others are words, too, as in I MISS YOU
+CAPITALS = "MR MRS MS DR PROF HERR FRAU".split()
+TITLES = sorted(MALE + FEMALE + NEUTRAL + CAPITALS, key=len, reverse=True)
+_PLAIN = "|".join(t for t in TITLES if t.lower() != "ms" or t == "Ms")
+TITLE = rf"(?:(?<!\p{{N}} |\p{{N}})(?=ms|MS)(?:ms|MS)|{_PLAIN})"
 # Titles may follow one another; Don is a given name there.
 TITLES_AGAIN = rf"(?:(?!Don ){TITLE}\.? )*"
 
 # Each pattern begins with a look at one letter, which is all that most positions cost.
-_WORD = r"\p{Lu}[\p{L}'’-]*"
+_WORD = r"\p{Lu}(?:[\p{L}-]|['’](?!s(?!\p{L}))(?=\p{L}))*+"
 _TITLED = rf"(?=[{''.join(sorted({t[0] for t in TITLES}))}])(?<!\p{{L}}){TITLE}\.? {TITLES_AGAIN}"
 NAME = rf"{_TITLED}{_WORD}(?: {_WORD}){{0,2}}"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
@@ -49,6 +52,18 @@ IBAN = (
     r"(?=[A-Z]{2}\d{2})(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
     r"(?![\p{L}\p{N}])"
 )
+# What follows the fixed beginnings of keys of two services.
+TOKEN = (
+    r"(?=[0-9A-Z])(?<=(?<![\p{L}\p{N}])A[KS]IA)[0-9A-Z]{16}(?![\p{L}\p{N}])"
+    r"|(?=[0-9A-Za-z])(?<=(?<![\p{L}\p{N}])gh[pousr]_)[0-9A-Za-z]{36,}+(?![\p{L}\p{N}])"
+)
+# Eight groups, or fewer around "::" that are too many for a slice or a scope of a program.
+IP6 = (
+    r"(?=[0-9A-Fa-f]{1,4}:)(?<![\p{L}\p{N}:.])(?=[0-9A-Fa-f:]*+(?![\p{L}\p{N}:]))(?=[A-Fa-f:]*[0-9])"
+    r"(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:(?:[0-9A-Fa-f]{1,4}:){2,6}|[Ff](?:[Ee]80|[CcDd][0-9A-Fa-f]{2}):)"
+    r":(?:[0-9A-Fa-f]{1,4}:){0,5}[0-9A-Fa-f]{1,4})"
+)
 IP = r"(?=\d)(?<![\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\p{N})"
 CARD = r"(?=\d{4})(?<!\p{N})(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?!\p{N})"
 SSN = r"(?=\d{3}-)(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"
@@ -56,7 +71,7 @@ PHONE = (
     r"(?=[+(0-9])(?<![\p{N}+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
     r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\d{3}[.-]\d{3}[.-]\d{4})(?!\p{N})"
 )
-ENTITY = "|".join([ASSIGNED, NAME, EMAIL, HEX, IBAN, IP, CARD, SSN, PHONE])
+ENTITY = "|".join([ASSIGNED, NAME, EMAIL, HEX, TOKEN, IBAN, IP6, IP, CARD, SSN, PHONE])
 # Every entity but a name holds one of these, or stands between quotation marks or behind "=".
 HINT = "[0-9@\"'=]"
 NAME_HINT = rf"{_TITLED}\p{{Lu}}"
@@ -106,7 +121,7 @@ SYLLABLES = {
 }
 SCRIPT_OF = {"cyrillic": r"^[\p{IsCyrillic}'’-]+$", "greek": r"^[\p{IsGreek}'’-]+$"}
 LATIN = r"^[\p{IsLatin}'’-]+$"
-NAMES = ["given_f", "given_m", "given", "surname"]
+NAMES = ["given_f", "given_m", "given", "surname"]  # roles of a name's words
 _SEP = "\u0001"
 
 
@@ -116,27 +131,30 @@ def _titles_of(mention: Column) -> Column:
 
 
 def parts_of(mention: Column) -> Column:
-    """The entities in a mention, in order: an array of ``kind, canonical, raw``.
+    """The entities in a mention, in order: an array of ``kind, canonical, raw, role``.
 
     Forms of one entity share a canonical value: case of addresses and tokens, punctuation of
-    numbers, case of names. A name gives one entity per word, the last being the surname; the
-    given name carries the gender of the title, if it has one. An address gives itself and its domain.
+    numbers, the country's and the trunk's digits before a phone number, case of names. A name
+    gives one entity per word, whatever place the word has in it; its role here is surname for
+    the last word, and else a given name with the gender of the title, if it has one. An address
+    gives itself and its domain.
     """
 
-    def part(kind, canonical, raw):
+    def part(kind, canonical, raw, role=None):
         return F.struct(
-            F.lit(kind).alias("kind") if isinstance(kind, str) else kind.alias("kind"),
+            F.lit(kind).alias("kind"),
             canonical.alias("canonical"),
             raw.alias("raw"),
+            (F.lit(None).cast("string") if role is None else role).alias("role"),
         )
 
     digits = F.regexp_replace(mention, "[^0-9]", "")
     domain = F.substring_index(mention, "@", -1)
-    titles = F.split(_titles_of(mention), r"\.? ")
+    titles = F.split(F.lower(_titles_of(mention)), r"\.? ")
     words = F.split(F.substr(mention, F.length(_titles_of(mention)) + 1), " ")
     given = (
-        F.when(F.arrays_overlap(titles, F.array(*map(F.lit, FEMALE))), "given_f")
-        .when(F.arrays_overlap(titles, F.array(*map(F.lit, MALE))), "given_m")
+        F.when(F.arrays_overlap(titles, _lower(FEMALE)), "given_f")
+        .when(F.arrays_overlap(titles, _lower(MALE)), "given_m")
         .otherwise("given")
     )
     return (
@@ -152,11 +170,18 @@ def parts_of(mention: Column) -> Column:
             F.transform(
                 words,
                 lambda word, i: part(
-                    F.when(i < F.size(words) - 1, given).otherwise("surname"), F.lower(word), word
+                    "name",
+                    F.lower(word),
+                    word,
+                    F.when(i < F.size(words) - 1, given).otherwise("surname"),
                 ),
             ),
         )
         .when(mention.rlike(r"^(\d{1,3}\.){3}\d{1,3}$"), F.array(part("ip", mention, mention)))
+        .when(
+            mention.rlike(r"^[0-9A-Fa-f:]+:[0-9A-Fa-f:]*:[0-9A-Fa-f]+$"),
+            F.array(part("ip6", F.lower(mention), mention)),
+        )
         .when(
             mention.rlike(r"^([0-9a-f]{32,}|[0-9A-F]{32,})$"),
             F.array(part("secret", F.lower(mention), mention)),
@@ -172,18 +197,28 @@ def parts_of(mention: Column) -> Column:
         )
         .when(
             mention.rlike(f"^(?:{PHONE})$"),
-            F.array(
-                part(
-                    "phone",
-                    F.concat(F.when(mention.startswith("+"), "+").otherwise(""), digits),
-                    mention,
-                )
-            ),
+            F.array(part("phone", _national(mention, digits), mention)),
         )
         .otherwise(F.array(part("secret", mention, mention)))
     )
 
 
+def _lower(titles) -> Column:
+    return F.array(*map(F.lit, sorted({t.lower() for t in titles})))
+
+
+def _national(mention: Column, digits: Column) -> Column:
+    """A phone number's digits without those of the country and without zeros before."""
+    code = (
+        F.when(~mention.startswith("+"), 0)
+        .when(mention.rlike(r"^\+[17]"), 1)
+        .when(mention.rlike(r"^\+\d{1,3}[^\d]"), F.length(F.regexp_extract(mention, r"^\+(\d+)", 1)))
+        .otherwise(2)
+    )
+    rest = F.regexp_replace(F.substr(digits, code + 1), "^0+", "")
+    return F.when(rest == "", digits).otherwise(rest)
+
+
 def _byte(stream: Column, i: Column) -> Column:
     """The ``i``-th byte of a stream of blocks of 32."""
     block, at = F.get(stream, F.shiftright(i, 5)), F.pmod(i, F.lit(32))
@@ -229,6 +264,13 @@ def _longer(text: Column, stream: Column, attempt: Column) -> Column:
     return F.when(attempt >= 8, F.array_join(more, "")).otherwise("")
 
 
+def _more_digits(stream: Column, attempt: Column) -> Column:
+    """Digits to add once the numbers of a length have proved too few."""
+    at = F.sequence(F.lit(20), attempt)
+    more = F.transform(at, lambda i: _pick("0123456789", _byte(stream, F.pmod(i, F.lit(32)))))
+    return F.when(attempt >= 20, F.array_join(more, "")).otherwise("")
+
+
 def _digit_sum(digits: Column) -> Column:
     """Sum modulo 10 of the card checksum over all digits but the last, still missing one."""
     n = F.length(digits)
@@ -242,12 +284,13 @@ def _digit_sum(digits: Column) -> Column:
     return F.pmod(F.aggregate(at, F.lit(0), weigh), F.lit(10))
 
 
-def _card(digits: Column, stream: Column) -> Column:
+def _card(digits: Column, stream: Column, more: Column) -> Column:
     """Keeps the network digit, and whether the checksum holds."""
     n = F.length(digits)
     body = F.concat(
         F.substr(digits, F.lit(1), F.lit(1)),
         _each(F.substr(digits, F.lit(2), n - 2), lambda _, i: _pick("0123456789", _byte(stream, i))),
+        more,
     )
     valid = F.pmod(
         _digit_sum(F.substr(digits, F.lit(1), n - 1)) + F.substr(digits, n, F.lit(1)).cast("int"),
@@ -269,24 +312,22 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), step)
 
 
-def _iban(value: Column, stream: Column) -> Column:
+def _iban(value: Column, account: Column) -> Column:
     """Keeps the country; the check digits hold."""
     country = F.substr(value, F.lit(1), F.lit(2))
-    account = _same_class(F.substr(value, F.lit(5)), stream)
     check = 98 - _mod97(F.concat(account, country, F.lit("00")))
     return F.concat(country, F.lpad(check.cast("string"), 2, "0"), account)
 
 
-def _phone(value: Column, stream: Column) -> Column:
-    """Keeps the country code; the digit after it is 2 to 9."""
-    keep = F.when(~value.startswith("+"), 0).when(value.rlike(r"^\+[17]"), 2).otherwise(3)
-    rest = _each(
-        F.substr(value, keep + 1),
+def _number(value: Column, stream: Column, more: Column) -> Column:
+    """Digits of which the first is 2 to 9."""
+    made = _each(
+        value,
         lambda _, i: F.when(i == 0, _pick("23456789", _byte(stream, i))).otherwise(
             _pick("0123456789", _byte(stream, i))
         ),
     )
-    return F.concat(F.substr(value, F.lit(1), keep), rest)
+    return F.concat(made, more)
 
 
 def _ip(value: Column, stream: Column, attempt: Column) -> Column:
@@ -305,10 +346,15 @@ def _ip(value: Column, stream: Column, attempt: Column) -> Column:
     return F.array_join(F.transform(F.split(value, r"\."), octet), ".")
 
 
-def _name(kind: Column, value: Column, stream: Column, attempt: Column) -> Column:
+def _has_syllables(value: Column) -> Column:
+    scripts = [LATIN, *SCRIPT_OF.values()]
+    return reduce(lambda a, b: a | b, (value.rlike(script) for script in scripts))
+
+
+def _name(role: Column, value: Column, stream: Column, attempt: Column, other: Column) -> Column:
     """Syllables of the same script; a given name's last letter follows the gender.
 
-    Other scripts than Latin, Cyrillic and Greek: letters of the script.
+    Other scripts than Latin, Cyrillic and Greek: ``other``.
     """
 
     def made(script):
@@ -324,27 +370,27 @@ def _name(kind: Column, value: Column, stream: Column, attempt: Column) -> Colum
             "",
         )
         last = (
-            F.when(kind == "given_f", F.lit(female))
-            .when(kind == "given_m", _pick(male, _byte(stream, F.lit(30))))
+            F.when(role == "given_f", F.lit(female))
+            .when(role == "given_m", _pick(male, _byte(stream, F.lit(30))))
             .otherwise(_pick(consonants, _byte(stream, F.lit(31))))
         )
         # a surname that ends in a vowel, as women's surnames of some languages do, still does
         vowel = F.regexp_like(value, F.lit(f"[{''.join(vowels)}]$"))
         return F.concat(
-            F.when(kind == "given_f", F.regexp_replace(syllables, ".$", "")).otherwise(syllables),
-            F.when((kind == "surname") & vowel, F.lit("")).otherwise(last),
+            F.when(role == "given_f", F.regexp_replace(syllables, ".$", "")).otherwise(syllables),
+            F.when((role == "surname") & vowel, F.lit("")).otherwise(last),
         )
 
     return (
         F.when(value.rlike(LATIN), made("latin"))
         .when(value.rlike(SCRIPT_OF["cyrillic"]), made("cyrillic"))
         .when(value.rlike(SCRIPT_OF["greek"]), made("greek"))
-        .otherwise(F.concat(_same_class(value, stream), _longer(value, stream, attempt)))
+        .otherwise(other)
     )
 
 
-def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """The replacement of a canonical value; a keyed function of it and the attempt."""
+def surrogate(kind: Column, value: Column, role: Column, attempt: Column, key: str) -> Column:
+    """The replacement of a canonical value; a keyed function of it, its role and the attempt."""
     blocks = F.sequence(F.lit(0), F.floor(F.length(value) / 32).cast("int") + 1)
     # a long value goes into each block by its own hash, or the work would grow with its square
     tag = F.when(F.length(value) > 256, F.sha2(value, 256)).otherwise(value)
@@ -354,44 +400,54 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
             blocks, lambda b: F.sha2(F.concat_ws(_SEP, F.lit(key), kind, tag, attempt, b), 256)
         )
 
-    return let(let(tag, stream), lambda stream: _made(kind, value, attempt, stream))
+    return let(let(tag, stream), lambda stream: _made(kind, value, role, attempt, stream))
 
 
-def _made(kind: Column, value: Column, attempt: Column, stream: Column) -> Column:
+def _made(kind: Column, value: Column, role: Column, attempt: Column, stream: Column) -> Column:
     local = F.substring_index(value, "@", 1)
     domain = F.substring_index(value, "@", -1)
     suffix = F.concat(F.lit("."), F.substring_index(value, ".", -1))
     is_hex = value.rlike("^[0-9a-f]+$")
     hexed = _each(
         value,
-        lambda c, i: F.when(
-            F.regexp_like(c, F.lit("[0-9]")), _pick("0123456789", _byte(stream, i))
-        ).otherwise(_pick("abcdef", _byte(stream, i))),
+        lambda c, i: F.when(F.regexp_like(c, F.lit("[0-9]")), _pick("0123456789", _byte(stream, i)))
+        .when(F.regexp_like(c, F.lit("[a-f]")), _pick("abcdef", _byte(stream, i)))
+        .otherwise(c),
     )
     host = F.substr(value, F.lit(1), F.length(value) - F.length(suffix))
-    longer = _longer(value, stream, attempt)
-    return (
-        F.when(kind == "email", F.concat(_same_class(local, stream), longer, F.lit("@"), domain))
-        .when(kind == "domain", F.concat(_same_class(host, stream), longer, suffix))
+    longer, more = _longer(value, stream, attempt), _more_digits(stream, attempt)
+    # what is replaced letter by letter, in one place: the table of letters is large
+    subject = (
+        F.when(kind == "email", local)
+        .when(kind == "domain", host)
+        .when(kind == "iban", F.substr(value, F.lit(5)))
+        .when((kind == "secret") & ~is_hex, value)
+        .when((kind == "name") & ~_has_syllables(value), value)
+        .otherwise("")
+    )
+    return let(
+        _same_class(subject, stream),
+        lambda same: F.when(kind == "email", F.concat(same, longer, F.lit("@"), domain))
+        .when(kind == "domain", F.concat(same, longer, suffix))
         .when(kind == "ip", _ip(value, stream, attempt))
-        .when(kind == "card", _card(value, stream))
-        .when(kind == "iban", _iban(value, stream))
-        .when(kind == "ssn", _phone(value, stream))
-        .when(kind == "phone", _phone(value, stream))
-        .when(kind.isin(NAMES), _name(kind, value, stream, attempt))
+        .when(kind == "ip6", hexed)
+        .when(kind == "card", _card(value, stream, more))
+        .when(kind == "iban", _iban(value, F.concat(same, more)))
+        .when(kind.isin("ssn", "phone"), _number(value, stream, more))
+        .when(kind == "name", _name(role, value, stream, attempt, F.concat(same, longer)))
         .when(is_hex, F.concat(hexed, longer))
-        .otherwise(F.concat(_same_class(value, stream), longer))
+        .otherwise(F.concat(same, longer)),
     )
 
 
 def surrogates(entities: DataFrame, key: str, max_attempts: int = 40) -> DataFrame:
-    """``kind, canonical, attempt, surrogate`` for distinct ``kind, canonical``.
+    """``kind, canonical, role, attempt, surrogate`` for distinct ``kind, canonical`` with a ``role``.
 
     No two entities of a kind share a surrogate, and no surrogate is a real value of its kind.
     An entity that would break this takes its next attempt; those settled earlier stay.
     """
     kind, value, attempt = F.col("kind"), F.col("canonical"), F.col("attempt")
-    made = surrogate(kind, value, attempt, key)
+    made = surrogate(kind, value, F.col("role"), attempt, key)
     table = stored(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", made), "pii")
     order = Window.partitionBy("kind", "surrogate").orderBy("attempt", "canonical")
     real = entities.select("kind", F.col("canonical").alias("surrogate"))
@@ -400,24 +456,33 @@ def surrogates(entities: DataFrame, key: str, max_attempts: int = 40) -> DataFra
         losers = same.union(table.join(real, ["kind", "surrogate"], "left_semi").select(same.columns))
         losers = stored(losers.select("kind", "canonical").distinct(), "pii-again")
         if losers.isEmpty():
+            release(losers)
             return table
         moved = table.join(losers.withColumn("lost", F.lit(True)), ["kind", "canonical"], "left")
         moved = moved.select(
-            "kind", "canonical", (attempt + F.when(F.col("lost"), 1).otherwise(0)).alias("attempt")
+            "kind", "canonical", "role", (attempt + F.when(F.col("lost"), 1).otherwise(0)).alias("attempt")
         )
-        table = stored(moved.withColumn("surrogate", made), "pii")
+        before, table = table, stored(moved.withColumn("surrogate", made), "pii")
+        release(before, losers)
     raise RuntimeError(f"surrogates still collide after {max_attempts} attempts")
 
 
 def _rendered(kind: Column, raw: Column, made: Column) -> Column:
     """A surrogate in the form of the mention: its punctuation, or its upper and lower case."""
-    plain = F.regexp_replace(made, "[^0-9A-Za-z]", "")
+    def filled(made):
+        """Digits and letters from the right; those before them, as a country's code, stay."""
+        here = F.length(F.regexp_replace(raw, "[^0-9A-Za-z]", ""))
+        stay = F.greatest(here - F.length(made), F.lit(0))
 
-    def fill(letter, i):
-        before = F.regexp_replace(F.substr(raw, F.lit(1), i + 1), "[^0-9A-Za-z]", "")
-        return F.when(
-            F.regexp_like(letter, F.lit("[0-9A-Za-z]")), F.substr(plain, F.length(before), F.lit(1))
-        ).otherwise(letter)
+        def fill(letter, i):
+            before = F.regexp_replace(F.substr(raw, F.lit(1), i + 1), "[^0-9A-Za-z]", "")
+            place = F.length(before) - stay
+            return F.when(
+                F.regexp_like(letter, F.lit("[0-9A-Za-z]")) & (place > 0),
+                F.substr(made, place, F.lit(1)),
+            ).otherwise(letter)
+
+        return F.concat(_each(raw, fill), F.substr(made, here + 1))
 
     cased = let(
         F.split(made, ""),
@@ -434,15 +499,15 @@ def _rendered(kind: Column, raw: Column, made: Column) -> Column:
         F.initcap(made)
     )
     return (
-        F.when(kind.isin("phone", "card", "ssn", "iban"), _each(raw, fill))
+        F.when(kind.isin("phone", "card", "ssn", "iban"), filled(made))
         .when(kind == "ip", made)
-        .when(kind.isin(NAMES), name)
+        .when(kind == "name", name)
         .otherwise(cased)
     )
 
 
 def _key_of(part: Column) -> Column:
-    return F.concat_ws(_SEP, part["kind"], part["raw"])
+    return F.concat_ws(_SEP, part["kind"], part["canonical"], part["raw"])
 
 
 def has_entity(text: Column) -> Column:
@@ -456,7 +521,7 @@ def _text_key(text: Column) -> Column:
 
 
 def mentions(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``text_key, kind, canonical, raw`` of the entities in each distinct text."""
+    """``text_key, kind, canonical, raw, role`` of the entities in each distinct text."""
     text = F.col(text_col)
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
     # a filter and no generator first, so that texts without entities are hashed by nobody
@@ -467,6 +532,22 @@ def mentions(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
+def entities_of(found: DataFrame) -> DataFrame:
+    """``kind, canonical, role`` of distinct entities in the rows of ``mentions``.
+
+    A name has one role in the whole corpus: given with the gender that more texts give it
+    (none if as many give the other), given, or surname if it is never a given name.
+    """
+    count = {r: F.count_if(F.col("role") == r) for r in NAMES}
+    role = (
+        F.when(count["given_f"] > count["given_m"], "given_f")
+        .when(count["given_m"] > count["given_f"], "given_m")
+        .when(count["given"] + count["given_m"] > 0, "given")
+        .when(count["surname"] > 0, "surname")
+    )
+    return found.groupBy("kind", "canonical").agg(role.alias("role"))
+
+
 def replace_entities(
     docs: DataFrame, key: str, *, text_col: str = "text", count_col: str | None = None
 ) -> DataFrame:
@@ -475,13 +556,16 @@ def replace_entities(
     Addresses, domains, numbers of phones, cards, accounts and machines, tokens, and names after
     a title are replaced by values that are a function of ``key`` and the entity, so one entity
     is the same everywhere, in all its forms, and different ones stay different. A name that a
-    text introduces with a title is also replaced where it stands alone in that text. Formats
-    are kept: punctuation, case, script, digits per octet, country, checksum, gender. Titles are
-    read as listed, not in capitals throughout; a name that nothing introduces is not found. Null and
-    empty texts, and texts without entities, stay as they are; repeated rows are treated alike.
+    text introduces with a title is also replaced where it stands alone in that text; each of its
+    words is one entity, be it given name or surname, with or without a title of either gender, and
+    takes the form that most of its titles ask for. A phone number is the same with and without
+    its country. Formats are kept: punctuation, case, script, digits per octet, country, checksum,
+    gender, until a format has too few values for all entities: then they grow longer. Titles are
+    read as listed; a name that nothing introduces is not found. Null and empty texts, and texts without entities, stay as they are; repeated rows are treated alike.
     ``count_col`` adds the number of mentions.
 
-    Tokens are hexadecimal runs from 32 digits on, and what stands behind token, secret, password
+    Tokens are hexadecimal runs from 32 digits on, what follows the fixed beginnings of two services'
+    keys, and what stands behind token, secret, password
     or api key and ``=`` or ``:``: all that is between quotation marks, or a bare word of 4 letters
     or more, with a digit unless it follows ``=`` at once. None is too long.
     """
@@ -491,19 +575,19 @@ def replace_entities(
     text = F.col(text_col)
     # one row per distinct text and part; copies of a text give the same rows
     found = stored(mentions(docs, text_col).distinct(), "pii-mentions")
-    table = surrogates(found.select("kind", "canonical").distinct(), key)
+    table = surrogates(entities_of(found), key)
     made = F.when(
         F.col("kind") == "email", F.substring_index("surrogate", "@", 1)
     ).otherwise(F.col("surrogate"))
     entry = F.struct(
-        F.concat_ws(_SEP, "kind", "raw").alias("key"),
+        F.concat_ws(_SEP, "kind", "canonical", "raw").alias("key"),
         _rendered(F.col("kind"), F.col("raw"), made).alias("value"),
     )
     maps = (
         found.join(table, ["kind", "canonical"])
         .select("text_key", entry.alias("entry"))
         .groupBy("text_key")
-        .agg(F.map_from_entries(F.collect_set("entry")).alias(names[1]))
+        .agg(F.map_from_entries(F.sort_array(F.collect_set("entry"))).alias(names[1]))
         .withColumnRenamed("text_key", names[0])
     )
     has = has_entity(text)
@@ -530,7 +614,7 @@ def _rebuilt(text: Column, found: Column, known: Column) -> Column:
         return (
             F.when(kind == "email", F.array_join(values, "@"))
             .when(
-                kind.isin(NAMES),
+                kind == "name",
                 F.concat(_titles_of(mention), F.array_join(values, " ")),
             )
             .otherwise(values[0])
@@ -541,7 +625,7 @@ def _rebuilt(text: Column, found: Column, known: Column) -> Column:
     whole = F.array_join(F.zip_with(pieces, filled, lambda a, b: F.concat(a, b)), "")
     # names that the text has introduced, where they stand alone
     introduced = F.filter(
-        F.map_entries(known), lambda e: F.regexp_like(e["key"], F.lit(f"^({'|'.join(NAMES)}){_SEP}"))
+        F.map_entries(known), lambda e: F.startswith(e["key"], F.lit(f"name{_SEP}"))
     )
 
     def alone(so_far, entry):

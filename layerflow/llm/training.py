@@ -2,20 +2,90 @@
 
 from __future__ import annotations
 
+import importlib
+import io
 import math
+import os
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.sinks import stage_table
+from layerflow.sources import shared_folder
+from layerflow.sources.tables import discard, write_bytes
 
 _PARTS = 1 << 20
 
 
+# Paths of tables stored inside each ``scratch`` that is open, the innermost last.
+_open: list[list[str]] = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut."""
-    return df.sparkSession.read.schema(df.schema).parquet(stage_table(df, f"layerflow-{label}"))
+    path = stage_table(df, f"layerflow-{label}")
+    if _open:
+        _open[-1].append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Remove tables that ``stored`` has written, once nothing reads them any more."""
+    for df in frames:
+        if path := getattr(df, "stored_at", None):
+            discard(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored inside are removed at the end; write what is to last within it."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            discard(spark, path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make sure that the executors' Python can import this package, once per application.
+
+    Where it cannot, as when the driver has the package on a path of its own, it is put into the
+    shared folder as an archive, from which Spark hands it to the executors.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_layerflow_there", False):
+        return
+
+    def can_import(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            try:
+                there = importlib.import_module("layerflow.llm.text") is not None
+            except ImportError:
+                there = False
+            yield pa.RecordBatch.from_pydict({"there": [there] * batch.num_rows})
+
+    n = context.defaultParallelism
+    if not all(r.there for r in spark.range(0, n, 1, n).mapInArrow(can_import, "there boolean").collect()):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+        path = f"{shared_folder(spark, 'layerflow-code')}/layerflow.zip"
+        write_bytes(spark, path, packed.getvalue())
+        context.addPyFile(path)
+    context._layerflow_there = True
 
 
 def labelled_sample(
