@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from layerflow.llm import (
     urls,
 )
 from layerflow.llm.text import let
+from layerflow.llm.training import ship
 
 # Surrogates are a function of it: a run that must not be linked to others takes a key of its own.
 PII_KEY = "layerflow surrogates"
@@ -30,8 +33,13 @@ ORACLE = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

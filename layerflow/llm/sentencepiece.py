@@ -341,7 +341,8 @@ def _viterbi_borders(word: str, pieces: Pieces) -> list[int]:
             if piece is None and start < end - 1:
                 continue
             gain = -1e6 if piece is None else pieces.score[piece]
-            if best[start][0] + gain > best[end][0]:
+            # of equal sums the one with the last border furthest on, as the greatest bits are there
+            if best[start][0] + gain >= best[end][0]:
                 best[end] = (best[start][0] + gain, start)
     borders = [n]
     while borders[-1]:

@@ -9,6 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerflow.llm.components import components
 from layerflow.llm.training import stored
@@ -165,7 +166,8 @@ def drop_near_copies(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2) ->
     """One row of each class of near copies, with the columns of ``docs``.
 
     The row that stays is the one ``simhash_classes`` marks; of repeated rows (equal id and
-    text, other columns perhaps unequal) any one stays.
+    text, other columns perhaps unequal) the one whose other columns have the least hash, whatever
+    the partitioning. Maps and variants do not count for that.
     """
     names = ["__lf_no_id", "__lf_id", "__lf_hash"]
     chosen = (
@@ -187,4 +189,8 @@ def drop_near_copies(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2) ->
         }
     )
     kept = marked.join(chosen, names, "left_semi")
-    return kept.dropDuplicates(names).select(*docs.columns)
+    unhashed = (T.MapType, T.VariantType)
+    others = [f.name for f in docs.schema if not isinstance(f.dataType, unhashed)]
+    rank = F.xxhash64(*(x for c in others for x in (F.col(c).isNull(), F.col(c))))
+    one = F.min_by(F.struct(*docs.columns), rank).alias("row")
+    return kept.groupBy(*names).agg(one).select("row.*")
