@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from layerflow.llm import decontaminate, pii, quality, sentencepiece, simhash
 from layerflow.llm.queries import PII_KEY
-from layerflow.llm.training import stored
+from layerflow.llm.training import scratch
+from layerflow.sinks import stage_table
+from layerflow.sources.tables import discard
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +53,20 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after another; each one's rows are written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages, one after another; each one's rows are written and read again.
+
+    What a stage has stored for itself is removed when its rows are written, and these are when
+    the next stage's are.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            path = stage_table(made, f"layerflow-{name.replace(' ', '-')}")
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before is not None:
+            discard(spark, before)
+        before = path
     return docs
 
 
