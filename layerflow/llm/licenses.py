@@ -151,6 +151,7 @@ TEMPLATES = {
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *TEMPLATES]  # a family's place is its label
 SIMILARITY = 0.8
+_LEVELS = 1 << 16  # steps of the threshold
 # Groups of families whose notices are nearly the same, and the word pairs that tell them apart.
 SIBLINGS = (
     {
@@ -450,34 +451,20 @@ def wrapped_paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(*rest, F.explode(given).alias("line")).select(*rest, "line.*")
 
 
-def train(docs: DataFrame, *, max_rows: int = 4000, false_rate: float = 0.001) -> LicenseModel:
-    """Fit on rows made from the notices and at most ``max_rows`` paragraphs of the corpus.
+def train(
+    docs: DataFrame, *, corpus_weight: float = 4000, false_rate: float = 0.001
+) -> LicenseModel:
+    """Fit on rows made from the notices and all distinct paragraphs of the corpus.
 
-    Paragraphs are taken by a hash of their words, each once. Those that hold four fifths of a
-    notice are rows of its family; the others are unknown. A third of them is kept from the fit:
-    the threshold is the least one, from 0.5, at which no more than ``false_rate`` of these
-    unknown paragraphs would pass for a licence. They are a third of ``max_rows`` at most, so a rate
-    of less than three in ``max_rows`` is that of the largest value among them.
+    Paragraphs that hold four fifths of a notice are rows of its family; the others are unknown.
+    Together they weigh as much as ``corpus_weight`` of the made rows at most, so that these count
+    in a corpus of any size. A third, by a hash of the words, is kept from the fit: the threshold is
+    the least value, from 0.5 and in steps of 1 / ``_LEVELS``, that no more than ``false_rate`` of
+    these unknown paragraphs exceed by a step or more.
+
+    Paragraphs with the same n-grams of the notices are one row with their number.
     """
     spark: SparkSession = docs.sparkSession
-    # a hash range of the documents that holds about the wanted number of lines
-    n_docs = max(1, docs.count())
-    share = min(1.0, max_rows / n_docs)
-    parts = 1 << 20
-    some = docs.select("text").where(
-        F.pmod(F.xxhash64("text"), F.lit(parts)) < max(1, int(share * parts))
-    )
-    lines = paragraphs(some).select("words").distinct()
-    lines = lines.orderBy(F.xxhash64("words"), "words").limit(max_rows)
-    match = template_match(F.col("words"))
-    best = let(match, lambda m: F.when(m["similarity"] >= SIMILARITY, m["label"]).otherwise(0))
-    corpus = stored(
-        lines.select("words", best.alias("label"), F.pmod(F.xxhash64("words", F.lit(1)), F.lit(3)).alias("fold")),
-        "licence-rows",
-    )
-    made = spark.createDataFrame(template_rows(), "words array<string>, label int")
-    rows = made.union(corpus.where("fold < 2").select("words", "label"))
-    rows = _grams(rows).withColumn("label", F.col("label").cast("double"))
     vocabulary = sorted(
         {
             " ".join(words[i : i + n])
@@ -490,17 +477,55 @@ def train(docs: DataFrame, *, max_rows: int = 4000, false_rate: float = 0.001) -
     counter = CountVectorizerModel.from_vocabulary(
         vocabulary, inputCol="grams", outputCol="features"
     ).setBinary(True)
+    match = let(
+        template_match(F.col("words")),
+        lambda m: F.when(m["similarity"] >= SIMILARITY, m["label"]).otherwise(0),
+    )
+    telling = F.array(*map(F.lit, _telling_words()))
+    lines = paragraphs(docs.select("text")).select(
+        "words",
+        F.when(F.arrays_overlap("words", telling), match).otherwise(0).cast("double").alias("label"),
+        F.xxhash64("words").alias("key"),
+        F.pmod(F.xxhash64("words", F.lit(1)), F.lit(3)).alias("fold"),
+    )
+    once = counter.transform(_grams(lines)).select("key", "fold", "label", "features").distinct()
+    counted = once.groupBy("fold", "label", "features").agg(F.count("*").alias("n"))
+    corpus = stored(counted, "licence-rows")
+    unknown = F.when(F.expr("fold = 2 AND label = 0"), F.col("n"))
+    total, n_unknown = corpus.agg(F.sum("n"), F.sum(unknown)).first()
+    weight = F.col("n") * min(1.0, corpus_weight / max(1, total or 0))
+    made = spark.createDataFrame(template_rows(), "words array<string>, label int")
+    made = counter.transform(_grams(made)).select(
+        F.col("label").cast("double"), "features", F.lit(1.0).alias("weight")
+    )
+    rows = made.union(corpus.where("fold < 2").select("label", "features", weight))
     regression = LogisticRegression(
-        family="multinomial", regParam=0.0005, elasticNetParam=1.0, maxIter=80, standardization=False
+        family="multinomial",
+        regParam=0.0005,
+        elasticNetParam=1.0,
+        maxIter=80,
+        standardization=False,
+        weightCol="weight",
     )
-    fitted = regression.fit(counter.transform(rows))
-    pipeline = PipelineModel([counter, fitted])
-    held = pipeline.transform(_grams(corpus.where("fold = 2 AND label = 0")))
+    fitted = regression.fit(rows)
+    held = fitted.transform(corpus.where("fold = 2 AND label = 0"))
     top = F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
-    level = held.agg(F.percentile(top, 1 - false_rate)).first()[0]
+    # _LEVELS / 2 + 1 rows at most
+    levels = (
+        held.groupBy(F.floor(top * _LEVELS).alias("level"))
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("level") >= _LEVELS // 2)
+        .collect()
+    )
+    threshold, above = 0.5, 0
+    for level, n in sorted(levels, reverse=True):
+        above += n
+        if above > int((n_unknown - 1) * false_rate):
+            threshold = level / _LEVELS
+            break
     weights = fitted.coefficientMatrix.toArray()
     weighted = [vocabulary[i] for i in weights.any(axis=0).nonzero()[0]]
-    return LicenseModel(pipeline, _cues(weighted), max(0.5, level or 0.0))
+    return LicenseModel(PipelineModel([counter, fitted]), _cues(weighted), threshold)
 
 
 def _cues(grams: list[str]) -> list[str]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import TESTDATA
 from layerflow.llm import licenses
 from layerflow.llm.queries import QUERIES
+from layerflow.llm.training import stored
 
 
 @pytest.fixture(scope="module")
@@ -164,3 +165,19 @@ def test_wrapped_notices(spark, model):
     assert {(r.doc_id, r.paragraph, r.family) for r in got} >= {(i, 2, f) for i, _, f in rows}
     assert {(r.doc_id, r.family) for r in got} == {(i, f) for i, _, f in rows}
     assert len(got) == len({(r.doc_id, r.paragraph) for r in got})
+
+
+def test_training_takes_every_paragraph(spark, monkeypatch):
+    """The fit and the threshold come from all distinct paragraphs, however many there are."""
+    kept = []
+    monkeypatch.setattr(
+        licenses, "stored", lambda df, label: kept.append(stored(df, label)) or kept[-1]
+    )
+    lines = ["under the software", "A notice of conditions", "nothing here"]
+    texts = ["\n".join(f"{lines[i % 3]} w{d}x{i}" for i in range(150)) for d in range(40)]
+    rows = list(enumerate([*texts, *texts, None, ""]))
+    licenses.train(spark.createDataFrame(rows, "doc_id int, text string"))
+    rows = kept[0].groupBy("fold").agg(F.sum("n").alias("n")).collect()
+    assert sum(r.n for r in rows) == 6000
+    assert {r.fold for r in rows} == {0, 1, 2}
+    assert kept[0].count() <= 9  # equal n-grams are one row
