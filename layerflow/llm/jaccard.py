@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerflow.llm.components import components
-from layerflow.llm.text import Points, add_from_text, mixed, text_slices
+from layerflow.llm.text import Points, add_from_text, mixed, slices, text_slices
 from layerflow.llm.training import stored
 from layerflow.llm.wanted import rows_wanted
 
@@ -18,7 +18,9 @@ FAN = 8  # children of a tree's node
 CHUNK = 512  # documents of one tree; a larger group is a forest, whose trees meet two by two
 HOT_TOKENS = 1 << 16  # tokens that come last in the order of prefixes, at most
 HOT_FROM = 64  # documents that make a token one of them
-_PAIRS = 1 << 15  # node pairs looked at together
+SET_CHARS = 1 << 19  # characters whose sets are made at once
+_PAIRS = 1 << 13  # node pairs looked at together, at most
+_PAIR_BYTES = 1 << 23  # their bitmaps, at most
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -75,7 +77,9 @@ def hot_tokens(docs: DataFrame, shingle: int, text_col: str) -> np.ndarray:
         known, seen = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
             for _, _, texts in text_slices(batch.column(0)):
-                token, n = np.unique(token_sets(texts, shingle)[0], return_counts=True)
+                parts = slices(list(map(len, texts)), SET_CHARS)
+                tokens = [token_sets(texts[a:b], shingle)[0] for a, b in parts]
+                token, n = np.unique(np.concatenate(tokens), return_counts=True)
                 both = np.concatenate((known, token[n > 1]))
                 known, place = np.unique(both, return_inverse=True)
                 seen = np.bincount(place, np.concatenate((seen, n[n > 1])), len(known)).astype(np.int64)
@@ -140,7 +144,7 @@ def with_sets(
         "prefix": (pa.list_(pa.int64()), "array<long>"),
     }
     keep = [c for c in docs.columns if c != text_col]
-    return add_from_text(docs, compute, added, text_col=text_col, keep=keep)
+    return add_from_text(docs, compute, added, text_col=text_col, keep=keep, chars=SET_CHARS)
 
 
 # Trees.
@@ -196,11 +200,13 @@ def linked_pairs(a: SignatureTree, b: SignatureTree, percent: int) -> Iterator[t
     first = i <= j if a.height else i < j
     stack = [(a.height, i[first], j[first]) if own else (a.height, i, j)]
     child = np.arange(FAN)
+    # wide bitmaps are compared a few pairs at a time
+    most = max(1, min(_PAIRS, _PAIR_BYTES // max(1, a.levels[0][0][:1].nbytes)))
     while stack:
         level, i, j = stack.pop()
-        if len(i) > _PAIRS:
-            stack.append((level, i[_PAIRS:], j[_PAIRS:]))
-            i, j = i[:_PAIRS], j[:_PAIRS]
+        if len(i) > most:
+            stack.append((level, i[most:], j[most:]))
+            i, j = i[:most], j[:most]
         good = _may_link(a.levels[level], b.levels[level], i, j, percent)
         i, j = i[good], j[good]
         if not len(i):
@@ -455,6 +461,7 @@ def jaccard_classes(
         lambda texts: {"tokens": _as_bytes(*token_sets(texts, shingle))},
         {"tokens": (pa.binary(), "binary")},
         keep=["id"],
+        chars=SET_CHARS,
     )
     tokens = tokens.groupBy("id").agg(F.first("tokens").alias("tokens"))  # of equal rows
     by_family = ["family", "a", "b"]

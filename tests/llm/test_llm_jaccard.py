@@ -139,3 +139,19 @@ def test_edge_rows(spark):
     )
     empty = jaccard.jaccard_classes(docs.limit(0))
     assert empty.columns == ["doc_id", "n_shingles", "component_id"] and empty.count() == 0
+
+
+def test_wide_bitmaps_meet_a_few_at_a_time(monkeypatch):
+    """What a task holds at once does not grow with the width of the bitmaps."""
+    most, may_link = [0], jaccard._may_link
+
+    def watched(a, b, i, j, percent):
+        most[0] = max(most[0], len(i) * a[0][:1].nbytes)
+        return may_link(a, b, i, j, percent)
+
+    monkeypatch.setattr(jaccard, "_may_link", watched)
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 1 << 62, 20000, dtype=np.uint64)
+    sets = [np.sort(np.delete(base, rng.integers(0, 20000, 40))) for _ in range(300)]
+    assert jaccard.exact_labels(sets, 80).tolist() == [0] * 300
+    assert most[0] <= 1 << 23
