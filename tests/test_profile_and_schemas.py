@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from layerflow import Layers, dedupe_latest, orders_spec, read_table, run_layers
 from layerflow import rebucket, upsert_bucketed_table, upsert_table
-from layerflow.operators.profile import n_distinct, profile, quantile, unite_profiles
+from layerflow.operators.profile import exact_quantiles, n_distinct, profile, quantile, unite_profiles
 from layerflow.sources.tables import SCHEMA_FILE, entry_names
 from test_layers import AS_OF, SCHEMA, SEED
 from test_merge import rows
@@ -53,6 +53,37 @@ def test_united_profiles_are_those_of_all_rows(spark):
     assert (got["s"].least, got["s"].greatest) == ("10", "9999")
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_exact_quantiles_are_those_of_percentile(spark, n):
+    number = F.when(F.col("id") % 7 != 0, F.pmod(F.xxhash64("id"), F.lit(400)) / 8)
+    df = spark.range(n).select(number.cast("decimal(12,3)").alias("the value"))
+    fractions = [0.0, 0.45, 0.5, 0.55, 0.999, 1.0]
+    expected = df.agg(*(F.percentile("`the value`", F.lit(f)) for f in fractions)).first()
+    assert exact_quantiles(df, "the value", fractions) == list(expected)
+
+
+def test_exact_quantiles_are_found_in_ranges(spark, monkeypatch):
+    """No task gets all values, and what was written for it is removed."""
+    from layerflow.operators import profile as module
+
+    df = spark.range(0, 20_000, 1, 4).select((F.col("id") * 7919 % 20_011).alias("v"))
+    seen = []
+
+    def look(spark, path):
+        seen.extend(r.n for r in spark.read.parquet(path).groupBy("part").agg(F.count("*").alias("n")).collect())
+        real(spark, path)
+
+    real = module.discard
+    monkeypatch.setattr(module, "discard", look)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = exact_quantiles(df, "v", [0.25, 0.5])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == list(df.agg(F.percentile("v", F.lit(0.25)), F.percentile("v", F.lit(0.5))).first())
+    assert sum(seen) == 20_000 and max(seen) < 10_000
+
+
 def test_times(spark):
     at = datetime(2026, 7, 1, 12)
     df = spark.createDataFrame(

@@ -42,7 +42,7 @@ from layerflow import (
     upsert_table,
     write_snapshot,
 )
-from layerflow.operators.profile import n_distinct, quantile, unite_profiles
+from layerflow.operators.profile import exact_quantiles, n_distinct, quantile, unite_profiles
 from layerflow.plans.layers import classified_rows
 from layerflow.plans.orders import LATEST_BY, QUARANTINE_PREVIEW, SOURCE_SYSTEM
 from layerflow.streaming import run_arrivals
@@ -585,10 +585,9 @@ def layers_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = both.agg(*(F.countDistinct(c).alias(c) for c in names)).unpivot(
         [], names, "column_name", "n_exact"
     )
-    amount = both.agg(
-        F.lit("total_amount").alias("column_name"),
-        F.percentile("total_amount", F.lit(0.45)).alias("low"),
-        F.percentile("total_amount", F.lit(0.55)).alias("high"),
+    ranks = exact_quantiles(both, "total_amount", [0.45, 0.55])
+    amount = spark.createDataFrame(
+        [("total_amount", *ranks)], "column_name string, low double, high double"
     )
     found = unite_profiles(read_table(spark, layers.profiles)).join(exact, "column_name")
     off = F.abs(n_distinct() - F.col("n_exact"))
