@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, NGram
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,7 +196,7 @@ OTHERS = (
 def words_of(text: Column) -> Column:
     """Runs of letters and digits, in lower case."""
     return F.filter(
-        F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0
+        F.split(F.lower(text), r"[^a-z0-9\p{L}\p{N}]+"), lambda w: F.length(w) > 0
     )
 
 
@@ -222,15 +222,56 @@ class LicenseModel:
     threshold: float
 
 
-def _grams(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``words``) and all their words, pairs and triples as ``grams``."""
-    pairs = NGram(n=2, inputCol="words", outputCol="__lf_two").transform(rows)
-    triples = NGram(n=3, inputCol="words", outputCol="__lf_three").transform(pairs)
-    return triples.withColumn("grams", F.concat("words", "__lf_two", "__lf_three")).drop(
-        "__lf_two", "__lf_three"
+def _vocabulary() -> list[str]:
+    """The words, pairs and triples of the notices."""
+    return sorted(
+        {
+            " ".join(words[i : i + n])
+            for notices in TEMPLATES.values()
+            for words in map(_split, notices)
+            for n in (1, 2, 3)
+            for i in range(len(words) - n + 1)
+        }
     )
 
 
+def _grams(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``words``) and those of their words, pairs and triples that notices have, as ``grams``.
+
+    The counter knows no others, so these are not put together.
+    """
+    sizes: dict[int, list[str]] = {1: [], 2: [], 3: []}
+    for gram in _vocabulary():
+        sizes[gram.count(" ") + 1].append(gram)
+    ones, twos, threes = sizes.values()
+
+    def of(known):
+        # null where a word is none of the notices'
+        both = F.filter(
+            F.sequence(F.lit(0), F.size(known) - 2),
+            lambda i: F.get(known, i).isNotNull() & F.get(known, i + 1).isNotNull(),
+        )
+        joined = F.transform(
+            both,
+            lambda i: F.struct(
+                i.alias("i"), F.concat_ws(" ", F.get(known, i), F.get(known, i + 1)).alias("gram")
+            ),
+        )
+
+        def longer(pairs):
+            # concat gives null where the third word is none of theirs
+            triples = F.transform(
+                pairs, lambda pair: F.concat(pair["gram"], F.lit(" "), F.get(known, pair["i"] + 2))
+            )
+            return F.concat(pairs["gram"], F.filter(triples, lambda gram: gram.isin(threes)))
+
+        pairs = F.filter(joined, lambda pair: pair["gram"].isin(twos))
+        return F.concat(F.filter(known, lambda w: w.isNotNull()), let(pairs, longer))
+
+    known = F.transform("words", lambda w: F.when(w.isin(ones), w))
+    return rows.withColumn("grams", let(known, of))
+
+
 def template_rows() -> list[tuple[list[str], int]]:
     """Training rows made from the notices: framed, cut off, and with a word left out."""
     rows = []
@@ -343,8 +384,18 @@ def paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Lines without words are left out, so null, empty and blank texts give no rows.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    lines = docs.select(*rest, F.posexplode(F.split(text_col, "\n")).alias("paragraph", "body"))
-    return lines.withColumn("words", words_of(F.col("body"))).where(F.size("words") > 0)
+    lines = docs.select(*rest, F.explode(_lines(text_col)).alias("__lf_line"))
+    return lines.select(*rest, "__lf_line.*")
+
+
+def _lines(text_col: str) -> Column:
+    """``paragraph, body, words`` of each line with words; within the row, so that no filter above
+    splits the lines a second time."""
+    of_text = F.transform(
+        F.split(text_col, "\n"),
+        lambda body, i: F.struct(i.alias("paragraph"), body.alias("body"), words_of(body).alias("words")),
+    )
+    return F.filter(of_text, lambda line: F.size(line["words"]) > 0)
 
 
 def _telling_words() -> list[str]:
@@ -373,11 +424,6 @@ def wrapped_paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     notices = [_split(t) for family in TEMPLATES.values() for t in family]
     sizes = sorted({len(notice) for notice in notices})
     telling = _telling_words()
-    of_text = F.transform(
-        F.split(text_col, "\n"),
-        lambda body, i: F.struct(i.alias("paragraph"), body.alias("body"), words_of(body).alias("words")),
-    )
-    lines = F.filter(of_text, lambda line: F.size(line["words"]) > 0)
 
     def window(lines, j, n):
         own = F.get(lines, j)["words"]
@@ -443,10 +489,13 @@ def wrapped_paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
             lambda held: F.transform(at, lambda j: line(held, j)),
         )
 
-    some = F.lower(text_col).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(telling)})(?![\p{{L}}\p{{N}}])")
-    given = F.when(
-        some, let(lines, lambda lines: F.when(F.size(lines) > 0, chosen(lines)))
-    ).otherwise(lines)
+    given = let(
+        _lines(text_col),
+        lambda lines: F.when(
+            F.exists(lines, lambda line: F.exists(line["words"], lambda w: w.isin(telling))),
+            chosen(lines),
+        ).otherwise(lines),
+    )
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     return docs.select(*rest, F.explode(given).alias("line")).select(*rest, "line.*")
 
@@ -465,15 +514,7 @@ def train(
     Paragraphs with the same n-grams of the notices are one row with their number.
     """
     spark: SparkSession = docs.sparkSession
-    vocabulary = sorted(
-        {
-            " ".join(words[i : i + n])
-            for notices in TEMPLATES.values()
-            for words in map(_split, notices)
-            for n in (1, 2, 3)
-            for i in range(len(words) - n + 1)
-        }
-    )
+    vocabulary = _vocabulary()
     counter = CountVectorizerModel.from_vocabulary(
         vocabulary, inputCol="grams", outputCol="features"
     ).setBinary(True)

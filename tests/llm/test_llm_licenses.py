@@ -181,3 +181,13 @@ def test_training_takes_every_paragraph(spark, monkeypatch):
     assert sum(r.n for r in rows) == 6000
     assert {r.fold for r in rows} == {0, 1, 2}
     assert kept[0].count() <= 9  # equal n-grams are one row
+
+
+def test_only_grams_of_notices_are_put_together(spark):
+    """Words, pairs and triples that no notice has are no n-grams of a row; the others all are."""
+    texts = ["", "the", "Licensed under the Zebra", "under the MIT license the the MIT", "zebra MIT; license zebra of"]
+    rows = spark.createDataFrame([(licenses._split(t),) for t in texts], "words array<string>")
+    vocabulary = set(licenses._vocabulary())
+    for words, grams in licenses._grams(rows).collect():
+        every = [" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+        assert sorted(grams) == sorted(g for g in every if g in vocabulary)
