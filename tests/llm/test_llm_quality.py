@@ -113,3 +113,25 @@ def test_same_model_for_rows_in_any_order():
     got = quality.margins(points, points.words(), weights)
     expected = [v[np.isin(c, column)].sum() for c, v in rows]
     assert np.allclose(got, expected, atol=1e-3)
+
+
+def test_slices_bound_a_tasks_memory():
+    """Words of a batch of four million code points are hashed in little memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from layerflow.llm import text
+
+    column = pa.array(["some words of a text " * 50] * 4000)
+    text.tables(), text._cache.clear()
+    tracemalloc.start()
+    try:
+        n = 0
+        for _, _, texts in text.text_slices(column):
+            points = text.Points(texts)
+            n += len(points.words().hashes(points.lowered()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 4000 * 50 * 5 and peak < 80e6
